@@ -10,38 +10,70 @@ from deedmill.operators.dedupe import first_per_key
 from deedmill.session import freeze
 
 SEGMENT_ROWS = 1_000_000
-MAX_SEGMENTS = 50_000  # over all keys, beside one per hot key
-QUANTILES = 20_000
+MAX_SEGMENTS = 15_000  # over all keys, beside one per hot key
+QUANTILES = 5_000
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _segment_starts(versions: DataFrame, key: str, ts: str, segment_rows: int) -> DataFrame:
+def _segment_starts(
+    versions: DataFrame, key: str, ts: str, segment_rows: int
+) -> DataFrame | None:
     """Cut points in time for keys with too many versions to sort in one task.
 
     A segment aims at ``segment_rows`` rows, or 1/``MAX_SEGMENTS`` of all rows
     where that is more; keys with more rows than that are hot, so there are
-    fewer than ``MAX_SEGMENTS`` of them. Cut points come from a quantile sketch
-    and are frozen, for two passes use them.
+    fewer than ``MAX_SEGMENTS`` of them. None where no key is hot. Cut points
+    come from a quantile sketch and are frozen, for two passes use them.
     """
     counts = versions.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.withColumn("_size", F.greatest(F.lit(segment_rows), total / MAX_SEGMENTS)).where(
-        F.col("_n") > F.col("_size")
+    hot = freeze(
+        counts.withColumn("_size", F.greatest(F.lit(segment_rows), total / MAX_SEGMENTS)).where(
+            F.col("_n") > F.col("_size")
+        )
     )
-    steps = [i / QUANTILES for i in range(1, QUANTILES)]
+    if hot.isEmpty():
+        return None
+    steps = F.expr("array(" + ", ".join(f"{i / QUANTILES}D" for i in range(1, QUANTILES)) + ")")
     cuts = (
         versions.join(F.broadcast(hot), key)
         .groupBy(key, F.ceil(F.col("_n") / F.col("_size")).alias("_wanted"))
-        .agg(F.percentile_approx(_micros(ts), F.lit(steps), 10 * QUANTILES).alias("_q"))
+        .agg(F.percentile_approx(_micros(ts), steps, 10 * QUANTILES).alias("_q"))
     )
     stride = F.greatest(F.floor(F.lit(QUANTILES) / F.col("_wanted")), F.lit(1))
     starts = F.array_distinct(F.filter("_q", lambda q, i: F.pmod(i + 1, stride) == 0))
     return freeze(cuts.select(key, starts.alias("_starts")))
 
 
+def _segment_edges(hot: DataFrame, key: str, ts: str, before: Column) -> DataFrame:
+    """Per segment of a hot key: the value before it, and the next change after it."""
+    changed = F.col("_before").isNotNull() & (F.col("_before") != F.col("_value"))
+    summary = (
+        hot.withColumn("_before", before)
+        .withColumn("_changed", changed)
+        .groupBy(key, "_segment")
+        .agg(
+            F.min(ts).alias("_first_ts"),
+            F.min_by("_value", ts).alias("_first_value"),
+            F.max_by("_value", ts).alias("_last_value"),
+            F.min(F.when(F.col("_changed"), F.col(ts))).alias("_changed_ts"),
+        )
+    )
+    segments = Window.partitionBy(key).orderBy("_segment")
+    later = segments.rowsBetween(1, Window.unboundedFollowing)
+    summary = summary.withColumn("_carried", F.lag("_last_value").over(segments))
+    opens = F.col("_carried").isNull() | (F.col("_carried") != F.col("_first_value"))
+    change = F.when(opens, F.col("_first_ts")).otherwise(F.col("_changed_ts"))
+    return (
+        summary.withColumn("_change", change)
+        .withColumn("_next_change", F.min("_change").over(later))
+        .select(key, "_segment", "_carried", "_next_change")
+    )
+
+
 def scd2_history(
     versions: DataFrame,
     key: str,
@@ -63,51 +95,31 @@ def scd2_history(
     versions = first_per_key(versions.select(key, ts, *attributes), [key, ts], tiebreak).select(
         key, ts, F.struct(*attributes).alias("_value")
     )
-    starts = _segment_starts(versions.select(key, ts), key, ts, segment_rows)
-    passed = F.size(F.filter("_starts", lambda start: start <= _micros(ts)))
-    # bounded: fewer than MAX_SEGMENTS keys, at most two cuts per segment aimed at
-    placed = versions.join(F.broadcast(starts), key, "left").withColumn(
-        "_segment", F.coalesce(passed, F.lit(0))
-    )
-
     in_segment = Window.partitionBy(key, "_segment").orderBy(ts)
     before = F.lag("_value").over(in_segment)
-
-    summary = (
-        placed.where(F.col("_starts").isNotNull())
-        .select(key, ts, "_segment", "_value", before.alias("_before"))
-        .withColumn("_changed", F.col("_before").isNotNull() & (F.col("_before") != F.col("_value")))
-        .groupBy(key, "_segment")
-        .agg(
-            F.min(ts).alias("_first_ts"),
-            F.min_by("_value", ts).alias("_first_value"),
-            F.max_by("_value", ts).alias("_last_value"),
-            F.min(F.when(F.col("_changed"), F.col(ts))).alias("_changed_ts"),
+    starts = _segment_starts(versions.select(key, ts), key, ts, segment_rows)
+    if starts is None:
+        in_segment = Window.partitionBy(key).orderBy(ts)
+        placed = versions.withColumn("_before", F.lag("_value").over(in_segment))
+        next_change = F.lead(ts).over(in_segment)
+    else:
+        passed = F.size(F.filter("_starts", lambda start: start <= _micros(ts)))
+        # bounded: fewer than MAX_SEGMENTS keys, about two cuts per segment aimed at
+        cut = versions.join(F.broadcast(starts), key, "left").withColumn(
+            "_segment", F.coalesce(passed, F.lit(0))
         )
-    )
-    segments = Window.partitionBy(key).orderBy("_segment")
-    later = segments.rowsBetween(1, Window.unboundedFollowing)
-    summary = summary.withColumn("_carried", F.lag("_last_value").over(segments))
-    opens = F.col("_carried").isNull() | (F.col("_carried") != F.col("_first_value"))
-    edges = (
-        summary.withColumn(
-            "_change", F.when(opens, F.col("_first_ts")).otherwise(F.col("_changed_ts"))
+        edges = _segment_edges(cut.where(F.col("_starts").isNotNull()), key, ts, before)
+        placed = (
+            cut.drop("_starts")
+            .join(F.broadcast(edges), [key, "_segment"], "left")
+            .withColumn("_before", F.coalesce(before, F.col("_carried")))
         )
-        .withColumn("_next_change", F.min("_change").over(later))
-        .select(key, "_segment", "_carried", "_next_change")
-    )
-
-    changes = (
-        placed.drop("_starts")
-        .join(F.broadcast(edges), [key, "_segment"], "left")
-        .withColumn("_before", F.coalesce(before, F.col("_carried")))
-        .where(F.col("_before").isNull() | (F.col("_before") != F.col("_value")))
-    )
-    valid_to = F.coalesce(F.lead(ts).over(in_segment), F.col("_next_change"))
+        next_change = F.coalesce(F.lead(ts).over(in_segment), F.col("_next_change"))
+    changes = placed.where(F.col("_before").isNull() | (F.col("_before") != F.col("_value")))
     return changes.select(
         key,
         *[F.col("_value")[name].alias(name) for name in attributes],
         F.col(ts).alias("valid_from"),
-        valid_to.alias("valid_to"),
-        valid_to.isNull().alias("is_current"),
+        next_change.alias("valid_to"),
+        next_change.isNull().alias("is_current"),
     )

@@ -9,7 +9,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df``; None where it cannot be read."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:
         return None
 

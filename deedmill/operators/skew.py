@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deedmill.operators.sizing import catalyst_will_broadcast
+from deedmill.session import freeze
 
 MAX_HOT_KEYS = 1000
 HOT_MIN_ROWS = 1_000_000
@@ -28,13 +29,20 @@ def hot_keys(
     The counts combine on the map side, so finding a hot key moves one row per
     key and task.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     return counts.where(
         (F.col("_rows") >= min_rows) & (F.col("_rows") * max_keys > total)
     ).select(key)
 
 
+def _found_hot(df: DataFrame, key: str, max_keys: int, min_rows: int) -> DataFrame | None:
+    """Hot keys worked out now and kept, so that a chain of lookups does not
+    repeat its own beginning inside every count; None where there are none."""
+    hot = freeze(hot_keys(df.select(key), key, max_keys, min_rows))
+    return None if hot.isEmpty() else hot
+
+
 def lookup_left(
     df: DataFrame,
     dim: DataFrame,
@@ -42,6 +50,7 @@ def lookup_left(
     columns: Sequence[str],
     is_key: Column,
     spread_by: Column,
+    counted: DataFrame | None = None,
     max_keys: int = MAX_HOT_KEYS,
     min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
@@ -52,41 +61,38 @@ def lookup_left(
     a hot key take their columns from a broadcast of the few hot ``dim`` rows,
     and both they and the keyless rows are spread over the shuffle by a hash of
     ``spread_by`` (any column that tells rows apart) to a slot ``dim`` never has.
+    ``counted`` may name a cheaper frame with the keys of ``df``.
     """
-    dim = dim.select(key, *columns)
+    lookup = dim.select(F.col(key).alias("_key"), *columns)
     keyed = df.withColumn("_key", F.when(is_key, F.col(key)))
-    lookup = dim.withColumnRenamed(key, "_key")
     if catalyst_will_broadcast(lookup):
         return keyed.join(lookup, "_key", "left").drop("_key")
 
-    hot = hot_keys(keyed.where(F.col("_key").isNotNull()).select("_key"), "_key", max_keys, min_rows)
-    hot_rows = lookup.join(F.broadcast(hot), "_key", "left_semi")
-    hot_values = F.struct(*[F.col(c) for c in columns]).alias("_hot_values")
-    # bounded: at most max_keys rows on either side
-    hot_dim = hot.join(F.broadcast(hot_rows), "_key", "left").select(
-        "_key", hot_values, F.lit(True).alias("_hot")
-    )
-    marked = keyed.join(F.broadcast(hot_dim), "_key", "left")
-    aside = F.coalesce(F.col("_hot"), F.lit(False)) | F.col("_key").isNull()
-    spread = F.when(aside, 1 + F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)))
-    marked = marked.withColumns(
-        {
-            "_slot": F.coalesce(spread, F.lit(0)),
-            "_join": F.coalesce(F.col("_key").cast("string"), F.lit("")),
-        }
-    )
+    keys = keyed.select("_key") if counted is None else counted.select(F.col(key).alias("_key"))
+    hot = _found_hot(keys, "_key", max_keys, min_rows)
+    aside = F.col("_key").isNull()
+    values = F.struct(*[F.col(c) for c in columns])
+    if hot is not None:
+        # bounded: fewer than max_keys rows on either side
+        matched = lookup.join(F.broadcast(hot), "_key", "left_semi")
+        hot_dim = hot.join(F.broadcast(matched), "_key", "left").select(
+            "_key", values.alias("_hot_values"), F.lit(True).alias("_hot")
+        )
+        keyed = keyed.join(F.broadcast(hot_dim), "_key", "left")
+        aside = aside | F.coalesce(F.col("_hot"), F.lit(False))
+    spread = F.when(aside, 1 + F.pmod(F.xxhash64(spread_by), F.lit(SPREAD))).otherwise(0)
     cold = lookup.select(
-        F.col("_key").cast("string").alias("_join"),
-        F.lit(0).cast("long").alias("_slot"),
-        F.struct(*[F.col(c) for c in columns]).alias("_cold_values"),
+        F.col("_key").alias("_join"), F.lit(0).cast("long").alias("_slot"), values.alias("_values")
     )
-    joined = marked.join(cold, ["_join", "_slot"], "left")
-    for name in columns:
-        joined = joined.withColumn(
-            name,
-            F.when(F.col("_hot"), F.col("_hot_values")[name]).otherwise(F.col("_cold_values")[name]),
-        )
-    return joined.drop("_key", "_hot", "_hot_values", "_cold_values", "_slot", "_join")
+    # a keyless row joins on some value of the key's type, in a slot of its own
+    no_key = F.lit("0").cast(lookup.schema["_key"].dataType)
+    joined = keyed.withColumns({"_slot": spread, "_join": F.coalesce("_key", no_key)}).join(
+        cold, ["_join", "_slot"], "left"
+    )
+    found = F.col("_values")
+    if hot is not None:
+        found = F.when(F.col("_hot"), F.col("_hot_values")).otherwise(found)
+    return joined.select(*df.columns, *[found[c].alias(c) for c in columns])
 
 
 def salted_join(
@@ -109,15 +115,19 @@ def salted_join(
         raise ValueError(f"unsupported join type: {how}")
     if catalyst_will_broadcast(right):
         return left.join(right, key, how)
-    # bounded: fewer than max_keys rows
-    hot = F.broadcast(
-        hot_keys(left.where(F.col(key).isNotNull()).select(key), key, max_keys, min_rows).withColumn(
-            "_hot", F.lit(True)
-        )
-    )
+    if how == "inner":
+        left = left.where(F.col(key).isNotNull())
+    hot = _found_hot(left, key, max_keys, min_rows)
+    if hot is None and how == "inner":
+        return left.join(right, key)
+    is_hot = F.lit(False)
+    if hot is not None:
+        # bounded: fewer than max_keys rows
+        marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        left, right = (side.join(marks, key, "left") for side in (left, right))
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     share = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    aside = F.col("_hot") | F.col(key).isNull()
-    dealt = left.join(hot, key, "left").withColumn("_salt", F.when(aside, share).otherwise(0)).drop("_hot")
-    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(shares)).drop("_hot")
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+    shares = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), share).otherwise(0))
+    repeated = right.withColumn("_salt", F.explode(shares))
+    return dealt.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")

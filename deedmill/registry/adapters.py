@@ -41,7 +41,7 @@ TRANSACTION = {
     "document_type_code": "substring(o_orderpriority, 1, 1)",
     "document_amount": """case when o_orderkey % 10 = 0 then cast(0 as decimal(18,2))
         when o_orderkey % 17 = 0 then null else cast(o_totalprice as decimal(18,2)) end""",
-    "transfer_tax_amount": "cast(o_totalprice / 100 as decimal(18,2))",
+    "transfer_tax_amount": "cast(floor(o_totalprice) as decimal(18,2))",
     "arms_length_code": "case o_orderstatus when 'P' then null when 'O' then '' else o_orderstatus end",
     "inter_family_flag": "case o_orderkey % 4 when 0 then null when 1 then '' when 2 then 'N' else 'Y' end",
     "is_foreclosure_auction_sale": "case o_orderkey % 5 when 0 then null when 1 then '0' else '' end",
