@@ -17,7 +17,7 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataF
     Rows are range-partitioned and sorted within partitions; a row's number is
     its place in the partition plus the rows in the partitions before it. The
     placed rows are frozen first: the ranges come from a sample, and counting
-    and numbering must see the same ones. Pass narrow rows.
+    and numbering must see the same ones.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = freeze(
@@ -59,12 +59,30 @@ def surrogate_keys(
 
 
 def attach_keys(
-    df: DataFrame, natural: Sequence[str], name: str, known: DataFrame | None = None,
+    df: DataFrame,
+    natural: Sequence[str],
+    name: str,
+    known: DataFrame | None = None,
     ids: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` (one row per natural key) with its surrogate key as first column.
 
-    ``ids`` may name a cheaper frame with the same natural keys.
+    Whole rows are numbered, so that what made them runs once: right for a
+    dimension, which is small beside the raw rows it comes from. For a fact,
+    ``ids`` names a cheap frame with the same natural keys; those are numbered
+    and joined back, and the wide rows are never moved for it.
     """
-    keys = surrogate_keys(df if ids is None else ids, natural, name, known)
-    return df.join(keys, list(natural)).select(name, *df.columns)
+    natural = list(natural)
+    if ids is not None:
+        keys = surrogate_keys(ids, natural, name, known)
+        return df.join(keys, natural).select(name, *df.columns)
+    if known is None:
+        return dense_index(df, natural, name).select(name, *df.columns)
+    known = known.select(*natural, F.col(name).cast("long").alias(name))
+    top = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    # rows without a key sort first and so get 1..M
+    matched = df.join(known, natural, "left").withColumn("_known", F.col(name).isNotNull())
+    numbered = dense_index(matched, ["_known", *natural], "_idx")
+    return numbered.withColumn(name, F.coalesce(F.col(name), F.col("_idx") + top)).select(
+        name, *df.columns
+    )

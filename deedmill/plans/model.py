@@ -80,8 +80,7 @@ def build_dim_property(
     raw_properties: DataFrame, feed: Feed, known: DataFrame | None = None
 ) -> DataFrame:
     rows = project_dim_property(latest_properties(raw_properties), feed)
-    ids = with_resolved_id(raw_properties, "tax_assessor_id").select("tax_assessor_id")
-    return attach_keys(rows, ["tax_assessor_id"], "property_key", known, ids)
+    return attach_keys(rows, ["tax_assessor_id"], "property_key", known)
 
 
 # ---- entity dimension --------------------------------------------------------
@@ -163,11 +162,7 @@ def entities_from_parties(
         columns = rows.columns
         counts = count_occurrences(parties, feed)
         rows = rows.drop("occurrences_count").join(counts, "canonical_entity_id").select(*columns)
-    ident = canonical_id(normalize_name(F.col("name")), feed.name).alias("canonical_entity_id")
-    ids = parties.select(ident)
-    if drop_blank:
-        ids = ids.where(F.col("canonical_entity_id") != canonical_id(F.lit(""), feed.name))
-    return attach_keys(rows, ["canonical_entity_id"], "entity_key", known, ids)
+    return attach_keys(rows, ["canonical_entity_id"], "entity_key", known)
 
 
 def build_dim_entity(

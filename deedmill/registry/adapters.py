@@ -64,14 +64,15 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def party_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parties per transaction, from the lines: odd lines name a seller, all a buyer."""
-    return (
+    counts = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(text("l_orderkey").alias("recorder_id"))
+        .groupBy("l_orderkey")
         .agg(
             F.count_if(F.col("l_linenumber") % 2 == 1).alias("grantor_count"),
             F.count(F.lit(1)).alias("grantee_count"),
         )
     )
+    return counts.select(text("l_orderkey").alias("recorder_id"), "grantor_count", "grantee_count")
 
 
 def counted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +81,7 @@ def counted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _elements(count: Column, most: int, element) -> Column:
     """Array of ``count`` (0 to ``most``) elements numbered from 1."""
-    numbers = F.slice(F.sequence(F.lit(1), F.lit(most)), F.lit(1), count)
-    return F.transform(numbers, element)
+    return F.slice(F.array(*[element(F.lit(j)) for j in range(1, most + 1)]), F.lit(1), count)
 
 
 def _party(role: str, label: str):

@@ -503,7 +503,8 @@ SELECT {"month, " if month else ""}count(*), 'properties'
 FROM ids JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD'){group}"""
 
 
-ORACLE["backfill_months"] = _landed("month(o_orderdate) % 4 = 0", "month")
+ORACLE["backfill_months"] = f"""
+SELECT * FROM ({_landed("month(o_orderdate) % 4 = 0", "month")}) WHERE n > 0"""
 ORACLE["load_summary"] = _landed("year(o_orderdate) = 1997", None)
 
 ORACLE["etl_audit"] = """
