@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from deedmill.operators.upsert import upsert
 
@@ -86,7 +86,10 @@ def upsert_partitions(
     moves one is refused, as the old row would stay behind.
     """
     spark = source.sparkSession
-    target = spark.read.parquet(path)
+    fields = spark.read.parquet(path).schema.fields
+    # a folder name like "01" must not be read as a number
+    schema = T.StructType([source.schema[f.name] if f.name == partition else f for f in fields])
+    target = spark.read.schema(schema).parquet(path)
     places = source.select(*keys, partition)
     moved = (
         target.select(*keys, F.col(partition).alias("_old"))
