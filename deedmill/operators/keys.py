@@ -55,7 +55,8 @@ def surrogate_keys(
     known = known.select(*natural, F.col(name).cast("long").alias(name))
     top = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
     numbered = dense_index(fresh.join(known, list(natural), "left_anti"), natural, name)
-    return known.unionByName(numbered.withColumn(name, F.col(name) + top))
+    kept = known.join(fresh, list(natural), "left_semi")
+    return kept.unionByName(numbered.withColumn(name, F.col(name) + top))
 
 
 def attach_keys(

@@ -35,4 +35,5 @@ def upsert(
     if stamp is not None and "created_at" in target.columns:
         incoming = incoming.withColumn("created_at", F.coalesce("created_at", stamp))
     kept = target.join(incoming.select(*keys), keys, "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
+    extra = [c for c in incoming.columns if c not in target.columns]
+    return kept.unionByName(incoming, allowMissingColumns=True).select(*target.columns, *extra)

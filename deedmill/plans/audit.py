@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from deedmill.sources.snapshots import path_exists
+
 # --- fixed values ------------------------------------------------------------
 OK, FAILED = "ok", "failed"
 LOG_SCHEMA = "month string, status string, rows long, error string, logged_at timestamp"
@@ -55,10 +57,7 @@ def failed_months(log: DataFrame) -> DataFrame:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The log at ``path``; an empty one where nothing was logged yet."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], LOG_SCHEMA)
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 

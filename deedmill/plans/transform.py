@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deedmill.operators.dedupe import first_per_key
@@ -10,7 +12,14 @@ from deedmill.plans.audit import load_summary
 from deedmill.plans.extract import RAW_TABLES
 from deedmill.schemas import Feed
 from deedmill.sources.raw import read_raw
-from deedmill.sources.snapshots import read_snapshot, upsert_snapshot, write_snapshot
+from deedmill.session import staged
+from deedmill.sources.snapshots import (
+    read_partitions,
+    read_snapshot,
+    upsert_partitions,
+    upsert_snapshot,
+    write_snapshot,
+)
 
 # model table -> natural key; the conflict key of its upsert
 NATURAL_KEYS = {
@@ -18,24 +27,51 @@ NATURAL_KEYS = {
     "dim_entity": ["canonical_entity_id"],
     "fact_transaction": ["recorder_id"],
 }
+MONTH = "transaction_month"
+UNDATED = "undated"
+
+
+def read_raw_tables(
+    spark: SparkSession, base: str, batches: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """The raw tables, or only some loads of them (other folders are not read)."""
+    tables = {t: read_raw(spark, f"{base}/{t}", ident) for t, ident in RAW_TABLES.items()}
+    if batches is not None:
+        tables = {t: df.where(F.col("batch").isin(list(batches))) for t, df in tables.items()}
+    return tables
 
 
-def read_raw_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {t: read_raw(spark, f"{base}/{t}", ident) for t, ident in RAW_TABLES.items()}
+def read_model(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """A model table as last written; None where there is none yet."""
+    if table == "fact_transaction":
+        fact = read_partitions(spark, f"{base}/{table}", MONTH)
+        return None if fact is None else fact.drop(MONTH)
+    return read_snapshot(spark, f"{base}/{table}")
 
 
-def transform_job(spark: SparkSession, raw_base: str, model_base: str, feed: Feed) -> dict:
+def transform_job(
+    spark: SparkSession,
+    raw_base: str,
+    model_base: str,
+    feed: Feed,
+    batches: Sequence[str] | None = None,
+) -> dict:
     """Build and upsert both dimensions, then the fact, which looks up the first.
 
-    Surrogate keys of rows the model knows are kept.
+    Surrogate keys of rows the model knows are kept. The fact is partitioned by
+    month and only months with changes are rewritten. ``batches`` limits
+    properties and transactions to newly landed loads: a load replaces what
+    earlier ones said, so the result is that of a full run as long as loads are
+    taken in their order. Entities always come from all parties, since the first
+    mention of a name may turn up in any load.
     """
-    raw = read_raw_tables(spark, raw_base)
-    path = lambda table: f"{model_base}/{table}"
+    raw = read_raw_tables(spark, raw_base, batches)
+    parties = read_raw_tables(spark, raw_base)
     stamp = F.current_timestamp()
-    known = {t: read_snapshot(spark, path(t)) for t in NATURAL_KEYS}
+    known = {t: read_model(spark, model_base, t) for t in NATURAL_KEYS}
 
     def load(table: str, rows: DataFrame) -> int:
-        return upsert_snapshot(rows, path(table), NATURAL_KEYS[table], stamp=stamp)
+        return upsert_snapshot(rows, f"{model_base}/{table}", NATURAL_KEYS[table], stamp=stamp)
 
     counts = {
         "dim_property": load(
@@ -43,13 +79,15 @@ def transform_job(spark: SparkSession, raw_base: str, model_base: str, feed: Fee
         ),
         "dim_entity": load(
             "dim_entity",
-            model.build_dim_entity(raw["grantors"], raw["grantees"], feed, known["dim_entity"]),
+            model.build_dim_entity(parties["grantors"], parties["grantees"], feed, known["dim_entity"]),
         ),
     }
-    dim_property = read_snapshot(spark, path("dim_property"))
-    counts["fact_transaction"] = load(
-        "fact_transaction",
-        model.build_fact_transaction(raw["transactions"], dim_property, feed, known["fact_transaction"]),
+    dim_property = read_model(spark, model_base, "dim_property")
+    fact = model.build_fact_transaction(
+        raw["transactions"], dim_property, feed, known["fact_transaction"]
+    ).withColumn(MONTH, F.coalesce(F.date_format("transaction_date", "yyyy-MM"), F.lit(UNDATED)))
+    counts["fact_transaction"] = upsert_partitions(
+        fact, f"{model_base}/fact_transaction", NATURAL_KEYS["fact_transaction"], MONTH, stamp=stamp
     )
     return load_summary(counts)
 
@@ -63,12 +101,14 @@ def bridges_job(spark: SparkSession, raw_base: str, model_base: str, feed: Feed)
         feed,
     )
     # overlapping loads repeat parties
-    once = first_per_key(parties, ["recorder_id", "role", "source_pk", "name"], [F.asc("seen_at")])
-    fact = read_snapshot(spark, f"{model_base}/fact_transaction")
-    entities = read_snapshot(spark, f"{model_base}/dim_entity")
+    once = staged(
+        first_per_key(parties, ["recorder_id", "role", "source_pk", "name"], [F.asc("seen_at")]), "parties"
+    )
+    fact = read_model(spark, model_base, "fact_transaction")
+    entities = read_model(spark, model_base, "dim_entity")
     bridge = model.build_bridge_transaction_party(once, fact, entities, feed)
     counts = {"bridge_transaction_party": write_snapshot(bridge, f"{model_base}/bridge_transaction_party")}
-    written = read_snapshot(spark, f"{model_base}/bridge_transaction_party")
+    written = read_model(spark, model_base, "bridge_transaction_party")
     owners = model.build_bridge_property_owner(fact, written)
     counts["bridge_property_owner"] = write_snapshot(owners, f"{model_base}/bridge_property_owner")
     return load_summary(counts)

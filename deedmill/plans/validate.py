@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from deedmill.plans import quality
+from deedmill.plans.transform import read_model
 from deedmill.sources.snapshots import read_snapshot, write_snapshot
 
 
@@ -12,7 +13,7 @@ def validate_job(
     spark: SparkSession, model_base: str, report_base: str, start=None, end=None
 ) -> dict:
     """Write ``dq_checks`` and ``dq_stats``; returns the four counters and what failed."""
-    table = lambda name: read_snapshot(spark, f"{model_base}/{name}")
+    table = lambda name: read_model(spark, model_base, name)
     tables = quality.Tables(
         table("dim_property"),
         table("dim_entity"),

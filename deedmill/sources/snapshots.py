@@ -12,24 +12,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from deedmill.operators.dedupe import first_per_key
 from deedmill.operators.upsert import upsert
+from deedmill.session import staged
 
 _WRITTEN = "_written"
 
 
+def _filesystem(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _filesystem(spark, path)
+    return fs.exists(folder)
+
+
 def _complete_snapshots(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(base)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
+    if not path_exists(spark, base):
         return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                found.append(int(name[1:]))
-    return sorted(found)
+    fs, folder = _filesystem(spark, base)
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    numbered = [n for n in names if n.startswith("v") and n[1:].isdigit()]
+    return sorted(int(n[1:]) for n in numbered if path_exists(spark, f"{base}/{n}/_SUCCESS"))
 
 
 def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
@@ -61,47 +67,74 @@ def upsert_snapshot(
     order: Sequence[Column] = (),
     stamp: Column | None = None,
 ) -> int:
-    """Insert or update ``source`` into a snapshot table; returns the rows inserted or updated."""
+    """Insert or update ``source`` into a snapshot table; returns the rows inserted or updated.
+
+    The source is worked out once and staged, as the upsert reads it several
+    times; its true size then also decides whether it is broadcast.
+    """
     current = read_snapshot(source.sparkSession, base)
     if current is None:
-        current = source.limit(0)
+        rows = first_per_key(source, keys, order) if order else source
         if stamp is not None:
-            current = current.withColumns({"created_at": stamp, "updated_at": stamp})
-    marked = source.withColumn(_WRITTEN, F.lit(True))
+            rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
+        return write_snapshot(rows, base)
+    marked = staged(source, "upsert").withColumn(_WRITTEN, F.lit(True))
     written = F.coalesce(F.col(_WRITTEN), F.lit(False))
     return write_snapshot(upsert(current, marked, keys, order, stamp), base, counted=written)
 
 
+def read_partitions(spark: SparkSession, path: str, partition: str) -> DataFrame | None:
+    """A partitioned table; None where there is none. Folder names stay text."""
+    if not path_exists(spark, path):
+        return None
+    fields = spark.read.parquet(path).schema.fields
+    text = T.StructField(partition, T.StringType())
+    schema = T.StructType([text if f.name == partition else f for f in fields])
+    return spark.read.schema(schema).parquet(path)
+
+
 def upsert_partitions(
     source: DataFrame,
     path: str,
     keys: Sequence[str],
     partition: str,
     order: Sequence[Column] = (),
-) -> None:
-    """Upsert into a partitioned table, rewriting only the partitions touched.
+    stamp: Column | None = None,
+) -> int:
+    """Upsert into a table partitioned by a text column, rewriting only what is touched.
 
-    For large facts: a day's load rewrites a month, not the table. A key must
-    stay in its partition (a recorded document keeps its date); a source that
-    moves one is refused, as the old row would stay behind.
+    For large facts: a day's load rewrites a few months, not the table. Touched
+    are the partitions of the source's rows and those that hold older versions
+    of them. A partition that would end up empty is refused, as the old rows
+    would stay behind. Returns the rows inserted or updated.
     """
-    spark = source.sparkSession
-    fields = spark.read.parquet(path).schema.fields
-    # a folder name like "01" must not be read as a number
-    schema = T.StructType([source.schema[f.name] if f.name == partition else f for f in fields])
-    target = spark.read.schema(schema).parquet(path)
-    places = source.select(*keys, partition)
-    moved = (
-        target.select(*keys, F.col(partition).alias("_old"))
-        .join(places, list(keys))
-        .where(~F.col("_old").eqNullSafe(F.col(partition)))
-    )
-    if not moved.isEmpty():
-        raise ValueError(f"source moves keys between values of {partition}; write a snapshot")
-    touched = target.join(source.select(partition).distinct(), partition, "left_semi")
+    spark, keys = source.sparkSession, list(keys)
+    target = read_partitions(spark, path, partition)
+    source = staged(source, "upsert")
+    if order:
+        source = first_per_key(source, keys, order)
+    if target is None:
+        rows = source
+        if stamp is not None:
+            rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
+        _overwrite_partitions(rows, path, partition)
+        return source.count()
+
+    old = target.select(*keys, F.col(partition).alias("_old")).join(source.select(*keys, partition), keys)
+    left_behind = old.where(F.col("_old") != F.col(partition)).select(F.col("_old").alias(partition)).distinct()
+    left_behind = staged(left_behind, "partitions")
+    wanted = source.select(partition).distinct().union(left_behind).distinct()
+    touched = target.join(wanted, partition, "left_semi")
+    merged = staged(upsert(touched, source, keys, stamp=stamp), "merged")
+    if not left_behind.join(merged.select(partition), partition, "left_anti").isEmpty():
+        raise ValueError(f"the source empties a whole {partition}; rebuild the table")
+    _overwrite_partitions(merged, path, partition)
+    return source.count()
+
+
+def _overwrite_partitions(rows: DataFrame, path: str, partition: str) -> None:
     (
-        upsert(touched, source, keys, order)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from deedmill import schemas
 from deedmill.plans import audit, backfill, enrich, model, quality, rollups
 from deedmill.plans.extract import extract_job
-from deedmill.plans.transform import bridges_job, transform_job
+from deedmill.plans.transform import bridges_job, read_model, transform_job
 from deedmill.plans.validate import validate_job
 from deedmill.schemas import Feed
 from deedmill.sources import files
@@ -74,7 +74,7 @@ def test_extract_transform_validate(spark, tmp_path, landing):
     kinds = dict(values(entities, "canonical_entity_name", "entity_type"))
     assert kinds == {"Acme LLC": "LLC", "Bank One": "CORPORATION", "Jo Doe": "INDIVIDUAL"}
 
-    fact = read_snapshot(spark, f"{model_base}/fact_transaction")
+    fact = read_model(spark, model_base, "fact_transaction")
     rows = {r["recorder_id"]: r for r in fact.collect()}
     assert {k: r["transaction_category"] for k, r in rows.items()} == {
         "r1": "SALE", "r2": "MORTGAGE", "r3": "OTHER", "r4": "OTHER",
@@ -86,7 +86,7 @@ def test_extract_transform_validate(spark, tmp_path, landing):
     # the next window overlaps the first and brings one new deed
     extract_job(source, props, raw_base, FEED, "2024-02-01", "2024-03-31", as_of="2024-04-01")
     transform_job(spark, raw_base, model_base, FEED)
-    again = read_snapshot(spark, f"{model_base}/fact_transaction")
+    again = read_model(spark, model_base, "fact_transaction")
     assert again.count() == 5
     old = {k: r["transaction_key"] for k, r in rows.items()}
     new = dict(values(again, "recorder_id", "transaction_key"))
@@ -248,13 +248,36 @@ def test_upsert_partitions_touches_only_theirs(spark, tmp_path):
     path = f"{tmp_path}/fact"
     schema = "k int, v string, month string"
     spark.createDataFrame([(1, "a", "01"), (2, "b", "01"), (3, "c", "02")], schema).write.partitionBy("month").parquet(path)
-    untouched = sorted(p.name for p in (tmp_path / "fact" / "month=02").iterdir())
-    upsert_partitions(spark.createDataFrame([(2, "B", "01"), (4, "d", "03")], schema), path, ["k"], "month")
-    got = spark.read.schema(schema).parquet(path)
-    assert sorted(values(got, "k", "v", "month")) == [(1, "a", "01"), (2, "B", "01"), (3, "c", "02"), (4, "d", "03")]
-    assert sorted(p.name for p in (tmp_path / "fact" / "month=02").iterdir()) == untouched
+    files_of = lambda month: sorted(p.name for p in (tmp_path / "fact" / f"month={month}").iterdir())
+    untouched = files_of("02")
+    rows = lambda: sorted(values(spark.read.schema(schema).parquet(path), "k", "v", "month"))
+    assert upsert_partitions(spark.createDataFrame([(2, "B", "01"), (4, "d", "03")], schema), path, ["k"], "month") == 2
+    assert rows() == [(1, "a", "01"), (2, "B", "01"), (3, "c", "02"), (4, "d", "03")]
+    assert files_of("02") == untouched
+    # a key that moves takes its old row along
+    assert upsert_partitions(spark.createDataFrame([(1, "A", "02")], schema), path, ["k"], "month") == 1
+    assert rows() == [(1, "A", "02"), (2, "B", "01"), (3, "c", "02"), (4, "d", "03")]
     with pytest.raises(ValueError):
-        upsert_partitions(spark.createDataFrame([(1, "x", "02")], schema), path, ["k"], "month")
+        upsert_partitions(spark.createDataFrame([(4, "x", "02")], schema), path, ["k"], "month")
+    assert rows() == [(1, "A", "02"), (2, "B", "01"), (3, "c", "02"), (4, "d", "03")]
+
+
+def test_incremental_transform_equals_full(spark, tmp_path, landing):
+    source, props = landing
+    raw_base, part, full = (f"{tmp_path}/{n}" for n in ("raw", "part", "full"))
+    # the first window wrote an older amount of r1 and no r5
+    older = source.withColumn("document_amount", F.when(F.col("recorder_id") == "r1", "1").otherwise(F.col("document_amount")))
+    extract_job(older, props, raw_base, FEED, "2024-01-01", "2024-02-10", as_of="2024-02-11")
+    transform_job(spark, raw_base, part, FEED, batches=["2024-02-10"])
+    extract_job(source, props, raw_base, FEED, "2024-01-01", "2024-03-31", as_of="2024-04-01")
+    transform_job(spark, raw_base, part, FEED, batches=["2024-03-31"])
+    transform_job(spark, raw_base, full, FEED)
+    for table in ("dim_property", "dim_entity", "fact_transaction"):
+        rows = [
+            sorted(map(str, read_model(spark, base, table).drop("created_at", "updated_at").collect()))
+            for base in (part, full)
+        ]
+        assert rows[0] == rows[1]
 
 
 # ---- streaming ---------------------------------------------------------------
