@@ -6,17 +6,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill import schemas
 from deedmill.functions.calendar import month_of, month_series
 from deedmill.functions.deals import USE_CODES
-from deedmill.functions.truth import truthy_text
 from deedmill.operators.joins import pending
-from deedmill.operators.nested import explode_children
 from deedmill.plans.audit import FAILED, LOG_SCHEMA, OK, completed_months, read_log
-from deedmill.plans.extract import RAW_TABLES, flatten_transactions
+from deedmill.plans.extract import RAW_TABLES, raw_loads
 from deedmill.schemas import Feed
 from deedmill.sources.raw import read_raw, replace_batches
 from deedmill.sources.scan import days_between
+from deedmill.sources.snapshots import path_exists
 
 
 def pending_months(spark: SparkSession, start: str, end: str, log: DataFrame) -> DataFrame:
@@ -31,43 +29,14 @@ def month_frames(
     codes: Sequence[str] | None = USE_CODES,
 ) -> dict[str, DataFrame]:
     """The raw loads of the months, each row tagged with its month as ``batch``."""
-    day = F.col("document_recorded_date").cast("date")
     first, last = min(months), max(months)
     # the day range reaches the scan; the month list takes out months in between
     wanted = days_between(
         source, "document_recorded_date", f"{first}-01", F.last_day(F.lit(f"{last}-01").cast("date"))
     )
-    nested = source.where(wanted).withColumn("_month", month_of(day)).where(
-        F.col("_month").isin(list(months))
-    )
-    stamp = F.current_timestamp()
-
-    def wrapped(df: DataFrame, ident: str) -> DataFrame:
-        body = df.drop("_month")
-        document = F.to_json(F.struct(*body.columns), {"ignoreNullFields": "false"})
-        return df.select(
-            F.col(ident).cast("string").alias(ident),
-            document.alias("data"),
-            stamp.alias("extracted_at"),
-            F.col("_month").alias("batch"),
-        )
-
-    def parties(role: str) -> DataFrame:
-        rows = explode_children(
-            nested, ["_month", "recorder_id"], schemas.PARTY_ARRAY[role], feed.party_fields(role)
-        )
-        return wrapped(rows, "recorder_id")
-
-    ids = nested.where(truthy_text(F.col("tax_assessor_id"))).select("_month", "tax_assessor_id").distinct()
-    known = properties
-    if codes is not None:
-        known = known.where(F.col("property_use_standardized_code").isin(list(codes)))
-    return {
-        "transactions": wrapped(flatten_transactions(nested), "recorder_id"),
-        "grantors": parties("grantor"),
-        "grantees": parties("grantee"),
-        "properties": wrapped(known.join(ids, "tax_assessor_id"), "tax_assessor_id"),
-    }
+    month = month_of(F.col("document_recorded_date").cast("date"))
+    nested = source.where(wanted).withColumn("batch", month).where(F.col("batch").isin(list(months)))
+    return raw_loads(nested, properties, feed, F.current_timestamp(), codes, ["batch"])
 
 
 def log_months(spark: SparkSession, path: str, rows: Sequence[tuple[str, str, int | None, str | None]]) -> None:
@@ -88,8 +57,10 @@ def _load(frames: dict[str, DataFrame], base: str, months: Sequence[str]) -> dic
     for table, frame in frames.items():
         replace_batches(frame, f"{base}/{table}")
     counts = dict.fromkeys(months, 0)
-    for table, ident in RAW_TABLES.items():
-        batches = read_raw(spark, f"{base}/{table}", ident).where(F.col("batch").isin(list(months)))
+    for table in frames:
+        if not path_exists(spark, f"{base}/{table}"):
+            continue
+        batches = read_raw(spark, f"{base}/{table}", RAW_TABLES[table]).where(F.col("batch").isin(list(months)))
         # one row per month
         for month, rows in batches.groupBy("batch").count().collect():
             counts[month] += rows

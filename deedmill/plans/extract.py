@@ -23,7 +23,10 @@ RAW_TABLES = {
     "transactions": "recorder_id",
     "grantors": "recorder_id",
     "grantees": "recorder_id",
+    "mortgages": "recorder_id",
     "properties": "tax_assessor_id",
+    "owners": "tax_assessor_id",
+    "owners_unmask": "tax_assessor_id",
 }
 
 
@@ -37,63 +40,93 @@ def flatten_transactions(nested: DataFrame) -> DataFrame:
     return flat.drop(schemas.MORTGAGE_ARRAY)
 
 
-def explode_parties(nested: DataFrame, role: str, feed: Feed) -> DataFrame:
+def explode_parties(nested: DataFrame, role: str, feed: Feed, keep: Sequence[str] = ()) -> DataFrame:
     return explode_children(
-        nested, "recorder_id", schemas.PARTY_ARRAY[role], feed.party_fields(role)
+        nested, [*keep, "recorder_id"], schemas.PARTY_ARRAY[role], feed.party_fields(role)
     )
 
 
-def explode_mortgages(nested: DataFrame, feed: Feed) -> DataFrame:
+def explode_mortgages(nested: DataFrame, feed: Feed, keep: Sequence[str] = ()) -> DataFrame:
     return explode_children(
-        nested, "recorder_id", schemas.MORTGAGE_ARRAY, feed.mortgage_fields(), drop_empty=True
+        nested, [*keep, "recorder_id"], schemas.MORTGAGE_ARRAY, feed.mortgage_fields(), drop_empty=True
     )
 
 
-def explode_owners(nested: DataFrame, feed: Feed) -> DataFrame:
+def explode_owners(nested: DataFrame, feed: Feed, keep: Sequence[str] = ()) -> DataFrame:
     return explode_children(
-        nested, "tax_assessor_id", schemas.OWNER_ARRAY, feed.owner_fields(), drop_empty=True
+        nested, [*keep, "tax_assessor_id"], schemas.OWNER_ARRAY, feed.owner_fields(), drop_empty=True
     )
 
 
-def explode_unmask(nested: DataFrame, feed: Feed) -> DataFrame:
+def explode_unmask(nested: DataFrame, feed: Feed, keep: Sequence[str] = ()) -> DataFrame:
     return explode_children(
-        nested, "tax_assessor_id", schemas.UNMASK_ARRAY, feed.unmask_fields(), drop_empty=True
+        nested, [*keep, "tax_assessor_id"], schemas.UNMASK_ARRAY, feed.unmask_fields(), drop_empty=True
     )
 
 
 def properties_of(
-    transactions: DataFrame, properties: DataFrame, codes: Sequence[str] | None = USE_CODES
+    transactions: DataFrame,
+    properties: DataFrame,
+    codes: Sequence[str] | None = USE_CODES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Properties that the transactions name, of the given use codes."""
-    ids = distinct_ids(transactions, "tax_assessor_id", truthy_text(F.col("tax_assessor_id")))
-    return keyed_rows(
-        properties, ids, "tax_assessor_id", "property_use_standardized_code", codes
-    )
+    """Properties that the transactions name, of the given use codes.
 
-
-def extract_frames(
-    source: DataFrame,
+    With ``keep``, once per distinct value of those transaction columns.
+    """
+    named = truthy_text(F.col("tax_assessor_id"))
+    if not keep:
+        ids = distinct_ids(transactions, "tax_assessor_id", named)
+        return keyed_rows(properties, ids, "tax_assessor_id", "property_use_standardized_code", codes)
+    if codes is not None:
+        properties = properties.where(F.col("property_use_standardized_code").isin(list(codes)))
+    ids = transactions.where(named).select(*keep, "tax_assessor_id").distinct()
+    return properties.join(ids, "tax_assessor_id")
+
+
+def raw_loads(
+    nested: DataFrame,
     properties: DataFrame,
     feed: Feed,
-    start: Column,
-    end: Column,
     extracted_at: Column,
     codes: Sequence[str] | None = USE_CODES,
+    keep: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """The four raw loads as lazy frames.
+    """The raw loads as lazy frames; ``keep`` columns stay beside the documents.
 
-    Each reads the source itself: the columns they need hardly overlap, so with
-    nested column pruning four narrow scans read what one wide scan would, and
+    Mortgages and owners come along where the source nests them. Each load
+    reads the source itself: the columns they need hardly overlap, so with
+    nested column pruning narrow scans read what one wide scan would, and
     nothing has to be held.
     """
-    nested = scan_date_range(source, "document_recorded_date", start, end)
+    known = properties_of(nested, properties, codes, keep)
     loads = {
         "transactions": flatten_transactions(nested),
-        "grantors": explode_parties(nested, "grantor", feed),
-        "grantees": explode_parties(nested, "grantee", feed),
-        "properties": properties_of(nested, properties, codes),
+        "grantors": explode_parties(nested, "grantor", feed, keep),
+        "grantees": explode_parties(nested, "grantee", feed, keep),
+        "properties": known.drop(schemas.OWNER_ARRAY, schemas.UNMASK_ARRAY),
     }
-    return {t: wrap_raw(df, RAW_TABLES[t], extracted_at) for t, df in loads.items()}
+    if schemas.MORTGAGE_ARRAY in nested.columns:
+        loads["mortgages"] = explode_mortgages(nested, feed, keep)
+    if schemas.OWNER_ARRAY in properties.columns:
+        loads["owners"] = explode_owners(known, feed, keep)
+    if schemas.UNMASK_ARRAY in properties.columns:
+        loads["owners_unmask"] = explode_unmask(known, feed, keep)
+    return {t: wrap_raw(df, RAW_TABLES[t], extracted_at, keep) for t, df in loads.items()}
+
+
+def extract_frames(
+    source: DataFrame,
+    properties: DataFrame,
+    feed: Feed,
+    start: Column,
+    end: Column,
+    extracted_at: Column,
+    codes: Sequence[str] | None = USE_CODES,
+) -> dict[str, DataFrame]:
+    """The raw loads of the days from ``start`` to ``end``, both in."""
+    nested = scan_date_range(source, "document_recorded_date", start, end)
+    return raw_loads(nested, properties, feed, extracted_at, codes)
 
 
 def extract_job(

@@ -27,6 +27,7 @@ NATURAL_KEYS = {
     "dim_entity": ["canonical_entity_id"],
     "fact_transaction": ["recorder_id"],
 }
+MODEL_SOURCES = ["transactions", "grantors", "grantees", "properties"]
 MONTH = "transaction_month"
 UNDATED = "undated"
 
@@ -35,7 +36,7 @@ def read_raw_tables(
     spark: SparkSession, base: str, batches: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
     """The raw tables, or only some loads of them (other folders are not read)."""
-    tables = {t: read_raw(spark, f"{base}/{t}", ident) for t, ident in RAW_TABLES.items()}
+    tables = {t: read_raw(spark, f"{base}/{t}", RAW_TABLES[t]) for t in MODEL_SOURCES}
     if batches is not None:
         tables = {t: df.where(F.col("batch").isin(list(batches))) for t, df in tables.items()}
     return tables

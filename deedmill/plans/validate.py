@@ -22,8 +22,8 @@ def validate_job(
         table("bridge_property_owner"),
     )
     checks, stats = quality.validate_all(tables, start, end)
-    write_snapshot(checks.coalesce(1), f"{report_base}/dq_checks")
-    write_snapshot(stats.coalesce(1), f"{report_base}/dq_stats")
+    write_snapshot(checks.repartition(1), f"{report_base}/dq_checks")
+    write_snapshot(stats.repartition(1), f"{report_base}/dq_stats")
     written = read_snapshot(spark, f"{report_base}/dq_checks")
     # report rows: a few dozen at most
     summary = quality.report_rollup(written).first().asDict()

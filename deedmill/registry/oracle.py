@@ -499,6 +499,9 @@ UNION ALL
 SELECT {keyed}CAST(coalesce(sum(CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 3 END), 0) AS BIGINT), 'grantees'
 FROM picked{group}
 UNION ALL
+SELECT {keyed}CAST(coalesce(sum(CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END), 0) AS BIGINT), 'mortgages'
+FROM picked{group}
+UNION ALL
 SELECT {"month, " if month else ""}count(*), 'properties'
 FROM ids JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD'){group}"""
 

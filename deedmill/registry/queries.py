@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -285,9 +286,12 @@ def dense_index(spark, sf_dir):
 # ---- fact --------------------------------------------------------------------
 
 
-def _fact_rows(spark, sf_dir):
+def _fact_rows(spark, sf_dir, counted=True):
+    rows = ad.counted_transactions(spark, sf_dir) if counted else ad.transactions(spark, sf_dir).withColumns(
+        {"grantor_count": F.lit(0), "grantee_count": F.lit(0)}
+    )
     looked = model.lookup_property_key(
-        ad.counted_transactions(spark, sf_dir), model.property_lookup(ad.property_dim(spark, sf_dir))
+        rows, model.property_lookup(ad.property_dim(spark, sf_dir))
     )
     return model.project_fact(looked, FEED)
 
@@ -375,7 +379,7 @@ def scd2_history(spark, sf_dir):
 
 
 def _fact_links(spark, sf_dir):
-    return _fact_rows(spark, sf_dir).withColumn("transaction_key", F.col("recorder_id").cast("long") + 1)
+    return _fact_rows(spark, sf_dir, counted=False).withColumn("transaction_key", F.col("recorder_id").cast("long") + 1)
 
 
 def _bridge_party(spark, sf_dir):
@@ -475,7 +479,7 @@ def backfill_months(spark, sf_dir):
         f.groupBy(F.col("batch").alias("month")).agg(F.count(F.lit(1)).alias("n")).withColumn("raw_table", F.lit(t))
         for t, f in frames.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -487,7 +491,7 @@ def load_summary(spark, sf_dir):
         F.lit("2025-01-01").cast("timestamp"), ad.USE_CODES,
     )
     parts = [f.agg(F.count(F.lit(1)).alias("n")).withColumn("raw_table", F.lit(t)) for t, f in frames.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from deedmill.functions.truth import filled
 
 
-def wrap_raw(df: DataFrame, id_field: str, extracted_at: Column | None = None) -> DataFrame:
-    """Each record as one JSON document beside its id; NULL fields are kept."""
-    document = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+def wrap_raw(
+    df: DataFrame, id_field: str, extracted_at: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Each record as one JSON document beside its id; NULL fields are kept.
+
+    Columns in ``keep`` stand beside the document and not in it.
+    """
+    fields = [F.col(f"`{c}`") for c in df.columns if c not in keep]
+    document = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     stamp = F.current_timestamp() if extracted_at is None else extracted_at
     ident = F.col(id_field) if id_field in df.columns else F.lit(None)
     return df.select(
-        ident.cast("string").alias(id_field), document.alias("data"), stamp.alias("extracted_at")
+        ident.cast("string").alias(id_field),
+        document.alias("data"),
+        stamp.alias("extracted_at"),
+        *keep,
     )
 
 

@@ -12,6 +12,7 @@ from deedmill.plans.transform import bridges_job, read_model, transform_job
 from deedmill.plans.validate import validate_job
 from deedmill.schemas import Feed
 from deedmill.sources import files
+from deedmill.sources.raw import read_raw
 from deedmill.sources.snapshots import read_snapshot, upsert_partitions, upsert_snapshot, write_snapshot
 from deedmill.streaming.ingest import incremental_ingest
 from tests.conftest import values
@@ -62,7 +63,9 @@ def test_extract_transform_validate(spark, tmp_path, landing):
     source, props = landing
     raw_base, model_base, reports = (f"{tmp_path}/{n}" for n in ("raw", "model", "reports"))
     got = extract_job(source, props, raw_base, FEED, "2024-01-01", "2024-02-10", as_of="2024-02-11")
-    assert got["counts"] == {"transactions": 4, "grantors": 2, "grantees": 3, "properties": 1}
+    assert got["counts"] == {
+        "transactions": 4, "grantors": 2, "grantees": 3, "properties": 1, "mortgages": 0,
+    }
     assert got["total"] == 10
 
     assert transform_job(spark, raw_base, model_base, FEED)["counts"] == {
@@ -229,6 +232,28 @@ def test_backfill_stops_on_error(spark, tmp_path, landing, monkeypatch):
     assert (got["succeeded"], got["failed"]) == (0, 1)
 
 
+def test_owners_and_mortgages_land_where_nested(spark, tmp_path, landing):
+    source, props = landing
+    owner = dict(zip(FEED.owner_fields(), ["o1", "Jo Doe"]))
+    unmask = dict(zip(FEED.unmask_fields(), ["u1", "7", "Jo Doe"]))
+    texts = lambda row, names: F.array(
+        F.struct(*[F.lit(row.get(n)).cast("string").alias(n) for n in names]),
+        F.struct(*[F.lit(None).cast("string").alias(n) for n in names]),
+    )
+    nested_props = props.withColumns(
+        {schemas.OWNER_ARRAY: texts(owner, FEED.owner_fields()), schemas.UNMASK_ARRAY: texts(unmask, FEED.unmask_fields())}
+    )
+    deeds = source.withColumn(
+        schemas.MORTGAGE_ARRAY, texts(dict(zip(FEED.mortgage_fields(), ["m1"])), FEED.mortgage_fields())
+    )
+    got = extract_job(deeds, nested_props, f"{tmp_path}/raw", FEED, "2024-01-01", "2024-12-31", as_of="2025-01-01")
+    assert got["counts"]["mortgages"] == 5 and got["counts"]["owners"] == 1 and got["counts"]["owners_unmask"] == 1
+    document = json.loads(read_raw(spark, f"{tmp_path}/raw/properties", "tax_assessor_id").first()["data"])
+    assert list(document) == schemas.PROPERTY_FIELDS
+    unmasked = json.loads(read_raw(spark, f"{tmp_path}/raw/owners_unmask", "tax_assessor_id").first()["data"])
+    assert unmasked["tax_assessor_id"] == "t1" and unmasked["owner_id"] == "7"
+
+
 # ---- snapshots ---------------------------------------------------------------
 
 
