@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def array_length(array: str) -> Column:
-    """Elements of an array column; a NULL array has none."""
-    return F.coalesce(F.size(F.col(array)), F.lit(0))
+def array_length(df: DataFrame, array: str) -> Column:
+    """Elements of an array column; a NULL array has none.
+
+    Elements that are structs are counted by their first field, so that the
+    Parquet reader leaves the other fields alone.
+    """
+    column, element = F.col(array), df.schema[array].dataType.elementType
+    if isinstance(element, T.StructType) and element.fields:
+        column = column[element.fields[0].name]
+    return F.coalesce(F.size(column), F.lit(0))
 
 
 def flatten_counts(df: DataFrame, prefix: str, counts: Mapping[str, str]) -> DataFrame:
     """Drop the columns that start with ``prefix``; add array lengths as ``counts``."""
     keep = [F.col(f"`{c}`") for c in df.columns if not c.startswith(prefix)]
     lengths = [
-        (array_length(array) if array in df.columns else F.lit(0)).alias(name)
+        (array_length(df, array) if array in df.columns else F.lit(0)).alias(name)
         for name, array in counts.items()
     ]
     return df.select(*keep, *lengths)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from deedmill import schemas
@@ -13,7 +15,7 @@ from deedmill.operators.joins import unique_lookup
 from deedmill.operators.keys import attach_keys
 from deedmill.operators.skew import lookup_left
 from deedmill.schemas import Feed
-from deedmill.sources.raw import open_envelope, with_resolved_id
+from deedmill.sources.raw import open_envelope, resolved_ids, with_resolved_id
 
 # --- fixed values ------------------------------------------------------------
 FIRST_DAY = "2025-01-01"
@@ -219,11 +221,14 @@ def lookup_property_key(transactions: DataFrame, lookup: DataFrame, **limits) ->
     )
 
 
-def project_fact(transactions: DataFrame, feed: Feed, flags: str = "python") -> DataFrame:
-    """All fact columns but the surrogate key."""
+def project_fact(
+    transactions: DataFrame, feed: Feed, flags: str = "python", keys: Sequence[str] = ()
+) -> DataFrame:
+    """All fact columns; ``keys`` go before them as they are."""
     arms, amount = F.col("arms_length_code"), F.col("document_amount")
     count = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("int").alias(name)
     return transactions.select(
+        *keys,
         "recorder_id",
         "property_key",
         F.col("document_recorded_date").alias("transaction_date"),
@@ -258,10 +263,16 @@ def build_fact_transaction(
     known: DataFrame | None = None,
     flags: str = "python",
 ) -> DataFrame:
+    """Newest document per transaction, with its key, then the property lookup.
+
+    Deduplication and keys share one partitioning by transaction id; the lookup
+    comes last, so the rows move twice in all.
+    """
     typed = type_transactions(latest_transactions(raw_transactions, feed))
-    rows = project_fact(lookup_property_key(typed, property_lookup(dim_property)), feed, flags)
-    ids = with_resolved_id(raw_transactions, "recorder_id").select("recorder_id")
-    return attach_keys(rows, ["recorder_id"], "transaction_key", known, ids)
+    ids = resolved_ids(raw_transactions, "recorder_id")
+    keyed = attach_keys(typed, ["recorder_id"], "transaction_key", known, ids)
+    looked = lookup_property_key(keyed, property_lookup(dim_property))
+    return project_fact(looked, feed, flags, ["transaction_key"])
 
 
 # ---- bridges -----------------------------------------------------------------

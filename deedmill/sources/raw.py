@@ -39,6 +39,19 @@ def with_resolved_id(raw: DataFrame, id_field: str) -> DataFrame:
     return raw.withColumn(id_field, resolved_id(id_field)).where(F.col(id_field).isNotNull())
 
 
+def resolved_ids(raw: DataFrame, id_field: str) -> DataFrame:
+    """The ids of ``with_resolved_id``, repeats included, without reading documents.
+
+    Rows with an id of their own need only that column; the others are told
+    apart by a filter that reaches the scan, which skips all row groups where
+    every row has its id.
+    """
+    own = F.col(id_field)
+    outside = raw.where(own != "").select(id_field)
+    inside = raw.where(own.isNull() | (own == "")).select(resolved_id(id_field).alias(id_field))
+    return outside.union(inside.where(own.isNotNull()))
+
+
 def open_envelope(
     raw: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("extracted_at",)
 ) -> DataFrame:

@@ -353,6 +353,21 @@ def test_key_fallback(spark):
     rows = [("1", '{"id":"9"}'), (None, '{"id":"2"}'), ("", '{"id":"3"}'), (None, '{"id":""}'), (None, "{}"), (None, None)]
     df = spark.createDataFrame(rows, "id string, data string")
     assert sorted(r["id"] for r in raw.with_resolved_id(df, "id").collect()) == ["1", "2", "3"]
+    assert sorted(r["id"] for r in raw.resolved_ids(df, "id").collect()) == ["1", "2", "3"]
+
+
+def test_ids_are_read_without_documents(spark, tmp_path):
+    spark.createDataFrame([("1", "{}")], "id string, data string").write.parquet(f"{tmp_path}/raw")
+    scans = plan(raw.resolved_ids(spark.read.parquet(f"{tmp_path}/raw"), "id")).split("FileScan")[1:]
+    assert "data" not in scans[0].split("ReadSchema")[1].split("\n")[0]
+    assert "PushedFilters: [Or(IsNull(id),EqualTo(id,))" in scans[1]
+
+
+def test_party_fields_are_not_read_for_counts(spark, tmp_path):
+    spark.createDataFrame(NESTED_ROWS, NESTED).write.parquet(f"{tmp_path}/nested")
+    flat = nested.flatten_counts(spark.read.parquet(f"{tmp_path}/nested"), "recorder_g", {"n": "recorder_g_a"})
+    assert "name:string" not in plan(flat).split("ReadSchema")[1]
+    assert sorted(values(flat, "n")) == [(0,), (0,), (1,), (1,), (2,), (2,)]
 
 
 def test_append_counts_and_appends(spark, tmp_path):
