@@ -66,17 +66,18 @@ class Check:
 
 
 def score(counts: DataFrame) -> DataFrame:
-    """Add score, status and text to rows of passed / total / threshold."""
-    return counts.withColumn("pct", scoring.percent(F.col("passed"), F.col("total"))).withColumns(
+    """Report rows from rows of passed / total / threshold."""
+    scored = counts.withColumn("pct", scoring.percent(F.col("passed"), F.col("total"))).withColumns(
         {
             "status": scoring.status(F.col("pct"), F.col("threshold")),
             "percentage": scoring.percent_text(F.col("pct")),
         }
     )
+    return scored.select(*CHECK_COLUMNS)
 
 
 def check_rows(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Check rows from a one-row frame of metrics."""
+    """Check rows, not scored yet, from a one-row frame of metrics."""
     structs = [
         F.struct(
             F.lit(c.seq).alias("seq"),
@@ -90,8 +91,7 @@ def check_rows(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
         )
         for c in checks
     ]
-    rows = metrics.select(F.inline(F.array(*structs))).where("applies")
-    return score(rows).select(*CHECK_COLUMNS)
+    return metrics.select(F.inline(F.array(*structs))).where("applies")
 
 
 def stat_rows(metrics: DataFrame, stats: Sequence[tuple[int, str, str, Column, str, Column]]) -> DataFrame:
@@ -111,7 +111,7 @@ def stat_rows(metrics: DataFrame, stats: Sequence[tuple[int, str, str, Column, s
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 _rows = lambda: F.count(F.lit(1)).alias("rows")
@@ -249,7 +249,7 @@ def row_checks(
 
 
 def check_required_fields(tables: Tables) -> DataFrame:
-    return _stack(row_checks(tables, [REQUIRED]))
+    return score(_stack(row_checks(tables, [REQUIRED])))
 
 
 # ---- uniqueness --------------------------------------------------------------
@@ -265,20 +265,22 @@ def _unique(df: DataFrame, seq: int, name: str, columns: Sequence[str], note: st
     return check_rows(metrics, [check])
 
 
-def check_uniqueness(tables: Tables) -> DataFrame:
+def _uniqueness(tables: Tables) -> list[DataFrame]:
     prop, entity, fact = tables.dim_property, tables.dim_entity, tables.fact_transaction
-    return _stack(
-        [
-            _unique(prop, 21, "dim_property.property_key is unique", ["property_key"]),
-            _unique(
-                prop, 22, "dim_property (tax_assessor_id, valid_from) is unique",
-                ["tax_assessor_id", "valid_from"], NATURAL_KEY_NOTE,
-            ),
-            _unique(entity, 23, "dim_entity.entity_key is unique", ["entity_key"]),
-            _unique(fact, 24, "fact_transaction.transaction_key is unique", ["transaction_key"]),
-            _unique(fact, 25, "fact_transaction.recorder_id is unique", ["recorder_id"]),
-        ]
-    )
+    return [
+        _unique(prop, 21, "dim_property.property_key is unique", ["property_key"]),
+        _unique(
+            prop, 22, "dim_property (tax_assessor_id, valid_from) is unique",
+            ["tax_assessor_id", "valid_from"], NATURAL_KEY_NOTE,
+        ),
+        _unique(entity, 23, "dim_entity.entity_key is unique", ["entity_key"]),
+        _unique(fact, 24, "fact_transaction.transaction_key is unique", ["transaction_key"]),
+        _unique(fact, 25, "fact_transaction.recorder_id is unique", ["recorder_id"]),
+    ]
+
+
+def check_uniqueness(tables: Tables) -> DataFrame:
+    return score(_stack(_uniqueness(tables)))
 
 
 # ---- referential integrity ---------------------------------------------------
@@ -303,7 +305,7 @@ def _property_links(tables: Tables) -> DataFrame:
     return links.withColumn("rows", rows)
 
 
-def check_referential_integrity(tables: Tables) -> DataFrame:
+def _integrity(tables: Tables) -> list[DataFrame]:
     matched, total = F.col("matched"), F.col("total")
     note = F.concat(
         matched.cast("string"), F.lit("/"), total.cast("string"), F.lit(" match ("),
@@ -339,7 +341,11 @@ def check_referential_integrity(tables: Tables) -> DataFrame:
                 44, "bridge_property_owner.entity_key → dim_entity",
             ),
         ]
-    return _stack(parts)
+    return parts
+
+
+def check_referential_integrity(tables: Tables) -> DataFrame:
+    return score(_stack(_integrity(tables)))
 
 
 def coverage_statistic(tables: Tables) -> DataFrame:
@@ -413,14 +419,14 @@ def _set_consistency(tables: Tables) -> list[DataFrame]:
 
 
 def check_consistency(tables: Tables, start=None, end=None) -> DataFrame:
-    return _stack([*_set_consistency(tables), *row_checks(tables, [CONSISTENT], start, end)])
+    return score(_stack([*_set_consistency(tables), *row_checks(tables, [CONSISTENT], start, end)]))
 
 
 # ---- business rules and statistics -------------------------------------------
 
 
 def check_business_logic(tables: Tables, codes: Sequence[str] = USE_CODES) -> DataFrame:
-    return _stack(row_checks(tables, [BUSINESS], codes=codes))
+    return score(_stack(row_checks(tables, [BUSINESS], codes=codes)))
 
 
 def collect_statistics(tables: Tables) -> DataFrame:
@@ -460,13 +466,13 @@ def validate_all(
     checks = _stack(
         [
             *row_checks(tables, [REQUIRED, CONSISTENT, BUSINESS], start, end, codes),
-            check_uniqueness(tables),
-            check_referential_integrity(tables),
+            *_uniqueness(tables),
+            *_integrity(tables),
             *_set_consistency(tables),
         ]
     )
-    stats = coverage_statistic(tables).unionByName(collect_statistics(tables))
-    return checks, stats
+    stats = coverage_statistic(tables).union(collect_statistics(tables))
+    return score(checks), stats
 
 
 def report_rollup(checks: DataFrame) -> DataFrame:

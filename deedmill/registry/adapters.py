@@ -63,12 +63,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def party_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parties per transaction, from the lines: odd lines name a seller, all a buyer."""
+    """Parties per transaction, from the lines: all name a buyer, returned ones a seller too."""
     counts = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.count_if(F.col("l_linenumber") % 2 == 1).alias("grantor_count"),
+            F.count_if(F.col("l_returnflag") != "N").alias("grantor_count"),
             F.count(F.lit(1)).alias("grantee_count"),
         )
     )
@@ -154,7 +154,7 @@ def _line_pk(tag: str) -> Column:
 
 
 def line_grantors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") % 2 == 1)
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "N")
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     joined = lookup_left(
         lines.select("l_orderkey", "l_linenumber", "l_suppkey"), suppliers, "l_suppkey", ["s_name"],
@@ -227,13 +227,13 @@ def property_records(spark: SparkSession, sf_dir: str, version: int = 0) -> Data
 
 
 def raw_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enveloped property documents: all once, every fifth again a month later.
+    """Enveloped property documents: all once, the valuable again a month later.
 
     Every seventh has its id only in the document, every 97th nowhere.
     """
     customers = table(spark, sf_dir, "customer")
     loads = []
-    for version, day, wanted in ((0, "2025-01-01", F.lit(True)), (1, "2025-02-01", F.col("c_custkey") % 5 == 0)):
+    for version, day, wanted in ((0, "2025-01-01", F.lit(True)), (1, "2025-02-01", F.col("c_acctbal") > 5000)):
         record = [F.expr(sql.format(version=version)).alias(n) for n, sql in PROPERTY.items()]
         nowhere = F.col("c_custkey") % 97 == 0
         record[0] = F.when(~nowhere, text("c_custkey")).alias("tax_assessor_id")
@@ -368,12 +368,12 @@ def quality_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_bridge_party(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd lines are grantors, so the totals agree with the fact."""
+    """Returned lines are grantors, so the totals agree with the fact."""
     line = F.col("l_linenumber")
     orphan = (line == 6) & (F.col("l_returnflag") == "R")
     return table(spark, sf_dir, "lineitem").select(
         F.when(orphan, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")).alias("transaction_key"),
-        F.when(line % 2 == 1, "grantor").otherwise("grantee").alias("party_role"),
+        F.when(F.col("l_returnflag") != "N", "grantor").otherwise("grantee").alias("party_role"),
         F.when((line == 5) & (F.col("l_returnflag") == "A"), "").otherwise(text("l_suppkey")).alias(
             "party_name_raw"
         ),

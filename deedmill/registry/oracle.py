@@ -44,7 +44,7 @@ classified AS (
 
 _COUNTS = """
 party_counts AS (
-  SELECT l_orderkey, count(*) FILTER (WHERE l_linenumber % 2 = 1) AS grantor_count, count(*) AS grantee_count
+  SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag <> 'N') AS grantor_count, count(*) AS grantee_count
   FROM lineitem GROUP BY l_orderkey)"""
 
 _SPELL = """CASE l_linenumber % 3 WHEN 0 THEN upper({n}) WHEN 1 THEN lower({n})
@@ -55,7 +55,7 @@ parties AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS recorder_id, {_SPELL.format(n="s_name")} AS name,
     'CORP' AS entity_code, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name,
     'GRANTOR' AS role, l_orderkey || '-s' || l_linenumber AS source_pk, 0 AS role_rank
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber % 2 = 1
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag <> 'N'
   UNION ALL
   SELECT CAST(l_orderkey AS VARCHAR), {_SPELL.format(n="p_name")},
     CASE p_type WHEN 'PROMO' THEN 'C' WHEN 'LARGE' THEN 'TRUST' WHEN 'SMALL' THEN 'LLC'
@@ -127,7 +127,7 @@ props AS (
     c_nationkey + 0.5::DOUBLE AS latitude,
     -(c_custkey % 90) - 0.25::DOUBLE AS longitude
   FROM customer, (SELECT 0 AS version UNION ALL SELECT 1)
-  WHERE version = 0 OR c_custkey % 5 = 0)"""
+  WHERE version = 0 OR c_acctbal > 5000)"""
 
 _PROPERTY_DIM = """
 property_dim AS (
@@ -536,7 +536,7 @@ q_fact AS (
   FROM classified LEFT JOIN party_counts ON l_orderkey = o_orderkey),
 q_party AS (
   SELECT CASE WHEN l_linenumber = 6 AND l_returnflag = 'R' THEN -l_orderkey - 1 ELSE l_orderkey END AS transaction_key,
-    CASE WHEN l_linenumber % 2 = 1 THEN 'grantor' ELSE 'grantee' END AS party_role,
+    CASE WHEN l_returnflag <> 'N' THEN 'grantor' ELSE 'grantee' END AS party_role,
     CASE WHEN l_linenumber = 5 AND l_returnflag = 'A' THEN '' ELSE CAST(l_suppkey AS VARCHAR) END AS party_name_raw
   FROM lineitem),
 q_owner AS (SELECT o_custkey AS property_key, o_orderkey % 120 AS entity_key FROM orders)"""
@@ -707,7 +707,7 @@ ORACLE["active_mapping"] = f"{_with(_MAPPING)} SELECT * FROM links"
 ORACLE["enrich_properties"] = f"""
 {_with(_MAPPING)}
 SELECT property_id, derived_property_id, tax_assessor_id, c_mktsegment, c_acctbal
-FROM links JOIN customer ON c_custkey = property_id WHERE c_nationkey < 20"""
+FROM links JOIN customer ON c_custkey = property_id"""
 
 ORACLE["enrich_loans"] = f"""
 {_with(_LOANS, _MAPPING)}

@@ -604,8 +604,8 @@ def active_mapping(spark, sf_dir):
 @query
 def enrich_properties(spark, sf_dir):
     master = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("property_id"), "c_mktsegment", "c_acctbal", "c_nationkey"
-    ).where(F.col("c_nationkey") < 20)
+        F.col("c_custkey").alias("property_id"), "c_mktsegment", "c_acctbal"
+    )
     links = rollups.active_mapping(ad.mapping(spark, sf_dir))
     return enrich.enrich_properties(links, master, ["c_mktsegment", "c_acctbal"])
 
