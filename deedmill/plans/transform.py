@@ -12,7 +12,7 @@ from deedmill.plans.audit import load_summary
 from deedmill.plans.extract import RAW_TABLES
 from deedmill.schemas import Feed
 from deedmill.sources.raw import read_raw
-from deedmill.session import staged
+from deedmill.session import staging
 from deedmill.sources.snapshots import (
     read_partitions,
     read_snapshot,
@@ -102,14 +102,17 @@ def bridges_job(spark: SparkSession, raw_base: str, model_base: str, feed: Feed)
         feed,
     )
     # overlapping loads repeat parties
-    once = staged(
-        first_per_key(parties, ["recorder_id", "role", "source_pk", "name"], [F.asc("seen_at")]), "parties"
-    )
+    once = first_per_key(parties, ["recorder_id", "role", "source_pk", "name"], [F.asc("seen_at")])
     fact = read_model(spark, model_base, "fact_transaction")
     entities = read_model(spark, model_base, "dim_entity")
-    bridge = model.build_bridge_transaction_party(once, fact, entities, feed)
-    counts = {"bridge_transaction_party": write_snapshot(bridge, f"{model_base}/bridge_transaction_party")}
+    with staging(once, "parties") as rows:
+        bridge = model.build_bridge_transaction_party(rows, fact, entities, feed)
+        parties_written = write_snapshot(bridge, f"{model_base}/bridge_transaction_party")
     written = read_model(spark, model_base, "bridge_transaction_party")
     owners = model.build_bridge_property_owner(fact, written)
-    counts["bridge_property_owner"] = write_snapshot(owners, f"{model_base}/bridge_property_owner")
-    return load_summary(counts)
+    return load_summary(
+        {
+            "bridge_transaction_party": parties_written,
+            "bridge_property_owner": write_snapshot(owners, f"{model_base}/bridge_property_owner"),
+        }
+    )

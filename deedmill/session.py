@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +58,27 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system and path object for ``path``."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: for frames that several
     passes read, each of them some of the columns."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``staged`` for jobs that are through with the frame at the end of the block."""
+    path = scratch_path(df.sparkSession, name)
+    fs, folder = filesystem(df.sparkSession, path)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        fs.delete(folder, True)

@@ -83,10 +83,16 @@ def append_raw(raw: DataFrame, path: str, batch: str | Column, name: str = "rows
     return int(seen.get["rows"])
 
 
-def replace_batches(raw: DataFrame, path: str) -> None:
-    """Write whole batches (column ``batch``), replacing earlier tries of the same ones."""
+def replace_batches(raw: DataFrame, path: str, many: bool = True) -> None:
+    """Write whole batches (column ``batch``), replacing earlier tries of the same ones.
+
+    With ``many`` batches at once their rows are brought together first, as
+    every task would otherwise write a small file for each; AQE splits a batch
+    that is much larger than the others.
+    """
+    rows = raw.hint("rebalance", "batch") if many else raw
     (
-        raw.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch")
         .parquet(path)

@@ -14,25 +14,20 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from deedmill.operators.dedupe import first_per_key
 from deedmill.operators.upsert import upsert
-from deedmill.session import staged
+from deedmill.session import filesystem, staging
 
 _WRITTEN = "_written"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _filesystem(spark, path)
+    fs, folder = filesystem(spark, path)
     return fs.exists(folder)
 
 
 def _complete_snapshots(spark: SparkSession, base: str) -> list[int]:
     if not path_exists(spark, base):
         return []
-    fs, folder = _filesystem(spark, base)
+    fs, folder = filesystem(spark, base)
     names = [status.getPath().getName() for status in fs.listStatus(folder)]
     numbered = [n for n in names if n.startswith("v") and n[1:].isdigit()]
     return sorted(int(n[1:]) for n in numbered if path_exists(spark, f"{base}/{n}/_SUCCESS"))
@@ -78,9 +73,10 @@ def upsert_snapshot(
         if stamp is not None:
             rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
         return write_snapshot(rows, base)
-    marked = staged(source, "upsert").withColumn(_WRITTEN, F.lit(True))
     written = F.coalesce(F.col(_WRITTEN), F.lit(False))
-    return write_snapshot(upsert(current, marked, keys, order, stamp), base, counted=written)
+    with staging(source, "upsert") as rows:
+        marked = rows.withColumn(_WRITTEN, F.lit(True))
+        return write_snapshot(upsert(current, marked, keys, order, stamp), base, counted=written)
 
 
 def read_partitions(spark: SparkSession, path: str, partition: str) -> DataFrame | None:
@@ -108,33 +104,43 @@ def upsert_partitions(
     of them. A partition that would end up empty is refused, as the old rows
     would stay behind. Returns the rows inserted or updated.
     """
-    spark, keys = source.sparkSession, list(keys)
-    target = read_partitions(spark, path, partition)
-    source = staged(source, "upsert")
-    if order:
-        source = first_per_key(source, keys, order)
-    if target is None:
-        rows = source
-        if stamp is not None:
-            rows = rows.withColumns({"created_at": stamp, "updated_at": stamp})
-        _overwrite_partitions(rows, path, partition)
-        return source.count()
-
-    old = target.select(*keys, F.col(partition).alias("_old")).join(source.select(*keys, partition), keys)
-    left_behind = old.where(F.col("_old") != F.col(partition)).select(F.col("_old").alias(partition)).distinct()
-    left_behind = staged(left_behind, "partitions")
-    wanted = source.select(partition).distinct().union(left_behind).distinct()
-    touched = target.join(wanted, partition, "left_semi")
-    merged = staged(upsert(touched, source, keys, stamp=stamp), "merged")
-    if not left_behind.join(merged.select(partition), partition, "left_anti").isEmpty():
-        raise ValueError(f"the source empties a whole {partition}; rebuild the table")
-    _overwrite_partitions(merged, path, partition)
-    return source.count()
+    keys = list(keys)
+    once = first_per_key(source, keys, order) if order else source
+    target = read_partitions(source.sparkSession, path, partition)
+    with staging(once, "upsert") as rows:
+        if target is None:
+            fresh = rows if stamp is None else rows.withColumns({"created_at": stamp, "updated_at": stamp})
+            _overwrite_partitions(fresh, path, partition)
+        else:
+            _merge_partitions(target, rows, path, keys, partition, stamp)
+        return rows.count()
+
+
+def _merge_partitions(
+    target: DataFrame,
+    rows: DataFrame,
+    path: str,
+    keys: list[str],
+    partition: str,
+    stamp: Column | None,
+) -> None:
+    old = target.select(*keys, F.col(partition).alias("_old")).join(rows.select(*keys, partition), keys)
+    moved = old.where(F.col("_old") != F.col(partition)).select(F.col("_old").alias(partition)).distinct()
+    with staging(moved, "partitions") as left_behind:
+        wanted = rows.select(partition).distinct().union(left_behind).distinct()
+        touched = target.join(wanted, partition, "left_semi")
+        # partitions of the table are replaced while it is read, so the result comes first
+        with staging(upsert(touched, rows, keys, stamp=stamp), "merged") as merged:
+            if not left_behind.join(merged.select(partition), partition, "left_anti").isEmpty():
+                raise ValueError(f"the source empties a whole {partition}; rebuild the table")
+            _overwrite_partitions(merged, path, partition)
 
 
 def _overwrite_partitions(rows: DataFrame, path: str, partition: str) -> None:
+    # few files per partition; AQE splits a partition that is much larger than others
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

@@ -39,7 +39,7 @@ def incremental_ingest(
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
         landed = wrap_raw(batch, id_field, F.col(ts).cast("timestamp"))
-        replace_batches(landed.withColumn("batch", F.lit(f"stream-{batch_id:010d}")), raw_path)
+        replace_batches(landed.withColumn("batch", F.lit(f"stream-{batch_id:010d}")), raw_path, many=False)
         newest = latest_per_key(batch, [id_field], ts, tiebreak)
         merge_newest(newest, table_base, id_field, ts)
 
