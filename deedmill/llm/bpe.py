@@ -1,17 +1,18 @@
 """BPE encoding by a distinct-word table, and decoding by an id-to-piece join.
 
-Encoding moves each text once and each distinct word of a block twice:
+Encoding splits each text once and shuffles no text:
 
-1. rows go to *blocks* of about ``BLOCK_BYTES`` of text, by a hash of the row;
-2. a block's texts are split and its distinct words go, as one array per bucket,
-   to the *bucket* that their hash names;
-3. a bucket encodes each of its distinct words once and answers every block that
+1. a task cuts its rows into *blocks* of about ``BLOCK_CHARS`` characters. A block
+   yields its documents as word numbers (frequent words first, compressed) and,
+   for each *bucket* that the hash of a word names, the sorted distinct words;
+2. a bucket encodes each of its distinct words once and answers every block that
    asked, in the order of the question, with ids alone;
-4. a block joins the ids back to the positions of its words.
+3. a block joins the ids back to the positions of its words.
 
-Step 4 meets the same exchange of texts as step 2, which Spark reuses. No word
-table is broadcast or collected; blocks and buckets keep their size when the
-corpus grows, there are only more of them.
+Questions and documents travel in one exchange, which Spark writes once and reads
+for both steps. No word table is broadcast or collected; blocks and buckets keep
+their size when the corpus grows, there are only more of them. A block's name
+holds a digest of its words, so that an answer never meets another block.
 """
 
 from __future__ import annotations
@@ -20,35 +21,52 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from deedmill.llm.token_counts import chunks
 from deedmill.llm.tokenizers import load_units
 
-#: Bytes of text in a block.
-BLOCK_BYTES = 16 << 20
+#: Characters of text in a block.
+BLOCK_CHARS = 16 << 20
 
 
-def block_count(docs: DataFrame, text_col: str) -> int:
-    """Blocks for the whole table: one pass over the text column's lengths."""
-    total = docs.agg(F.sum(F.octet_length(text_col).cast("long") + 64)).first()[0]
-    return max(1, -(-(total or 0) // BLOCK_BYTES))
+def bucket_count(docs: DataFrame, text_col: str) -> int:
+    """Buckets for the whole table: one pass over the text column's lengths."""
+    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0]
+    return max(8, -(-(total or 0) // BLOCK_CHARS))
 
 
-def _asked(words: set[str], n_buckets: int) -> tuple[list[str], np.ndarray]:
-    """Words in the order of (bucket, hash, word), and the bucket of each."""
-    words = list(words)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    buckets = (hashes % np.uint64(n_buckets)).astype(np.int64)
-    order = np.lexsort((hashes, buckets))
-    hashes = hashes[order]
-    out = [words[k] for k in order]
-    for at in np.flatnonzero(hashes[1:] == hashes[:-1]):  # equal hashes: by word, so that the order is settled
-        end = at + 1
-        while end < len(out) and hashes[end] == hashes[at]:
-            end += 1
-        out[at:end] = sorted(out[at:end])
-    return out, buckets[order]
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2**32, as compressed planes of their bytes."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return len(numbers).to_bytes(8, "little") + pa.compress(
+        np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True
+    )
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(packed[8:], 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _pack_words(words: list[str]) -> bytes:
+    raw = "".join(words).encode()
+    sizes = _pack(np.fromiter(map(len, words), np.int64, len(words)))
+    head = len(raw).to_bytes(8, "little") + len(sizes).to_bytes(8, "little")
+    return head + sizes + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def _unpack_words(packed: bytes) -> list[str]:
+    n_raw, n_sizes = int.from_bytes(packed[:8], "little"), int.from_bytes(packed[8:16], "little")
+    ends = np.cumsum(_unpack(packed[16 : 16 + n_sizes])).tolist()
+    raw = pa.decompress(packed[16 + n_sizes :], n_raw, codec="zstd", asbytes=True).decode() if n_raw else ""
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -57,88 +75,157 @@ def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
 
 
+class _Block:
+    """Documents of a block as numbers of its distinct words."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.codes: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.chars = 0
+
+    def add(self, split: list[list[str]], chars: int) -> None:
+        new = set().union(*split).difference(self.number)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        for words in split:
+            self.codes.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+            self.sizes.append(len(words))
+        self.chars += chars
+
+    def rows(self, n_buckets: int, seat: str, ids: pa.Array) -> tuple[list[dict], pa.Array]:
+        """The row of the documents, then one question per bucket."""
+        words = sorted(self.number)
+        bucket = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)) % np.uint64(n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        words, bucket = [words[k] for k in order], bucket[order].astype(np.int64)
+        place = np.empty(len(words), np.int64)  # of each number, in the order of the questions
+        place[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
+        codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.int32)
+        common = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[common] = np.arange(len(words))
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(words) else np.zeros(0, np.int64)
+        packed = [_pack_words(words[a:b]) for a, b in zip(cuts, [*cuts[1:], len(words)])]
+        digest = xxhash.xxh64_intdigest(b"".join(packed))
+        name = f"{seat}-{digest:016x}-{len(words)}"
+        rows = [
+            {
+                "key": name,
+                "number": len(words),
+                "sizes": _pack(np.array(self.sizes, np.int64)),
+                "words": _pack(rank[codes]),
+                "places": _pack(place[common]),
+            }
+        ]
+        rows += [
+            {"key": str(bucket[a]), "block": name, "number": int(bucket[a]), "words": w} for a, w in zip(cuts, packed)
+        ]
+        return rows, ids
+
+
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id and ``ids``, an array of the text's token ids.
 
     Equal to the library's encoding without special tokens added, truncation and
     padding; strings of special tokens inside a text are encoded as the library
     does by default. Null and empty texts give an empty array. Null and repeated
-    ids keep a row each; other columns are not read.
+    ids keep a row each, equal rows are spread like others; other columns are not
+    read. ``docs`` is to be a stored table: its rows must come in the same order
+    whenever a lost task runs again.
     """
-    n = block_count(docs, text_col)
-    keyed = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-        F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int").alias("block"),
+    n_buckets = bucket_count(docs, text_col)
+    id_field = T.StructField("ids", T.ArrayType(docs.schema[id_col].dataType))
+    asked = T.StructType(
+        [
+            T.StructField("key", T.StringType()),
+            T.StructField("block", T.StringType()),
+            T.StructField("number", T.LongType()),
+            id_field,
+            T.StructField("sizes", T.BinaryType()),
+            T.StructField("words", T.BinaryType()),
+            T.StructField("places", T.BinaryType()),
+        ]
     )
 
-    def ask(table: pa.Table) -> pa.Table:
-        units, found = load_units(path), set()
-        for text in table.column("text"):
-            found.update(units.split(text.as_py() or ""))
-        words, buckets = _asked(found, n)
-        cuts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(words) else np.zeros(0, np.int64)
-        return pa.table(
-            {
-                "block": pa.array(np.full(len(cuts), table.column("block")[0].as_py(), np.int32)),
-                "bucket": pa.array(buckets[cuts].astype(np.int32)),
-                "words": pa.ListArray.from_arrays(np.r_[cuts, len(words)].astype(np.int32), pa.array(words, pa.string())),
-            }
-        )
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = load_units(path)
+        seat = str(TaskContext.get().partitionId())
+        block, ids, nth, id_type = _Block(), [], 0, None
+
+        def flush() -> pa.RecordBatch:
+            nonlocal block, ids, nth
+            rows, own = block.rows(n_buckets, f"{seat}.{nth}", pa.concat_arrays(ids))
+            block, ids, nth = _Block(), [], nth + 1
+            lists = pa.ListArray.from_arrays(
+                pa.array([0] + [len(own)] * len(rows), pa.int32()), own
+            )
+            columns = [
+                pa.array([r["key"] for r in rows], pa.string()),
+                pa.array([r.get("block") for r in rows], pa.string()),
+                pa.array([r["number"] for r in rows], pa.int64()),
+                lists,
+                *[pa.array([r.get(c) for r in rows], pa.binary()) for c in ("sizes", "words", "places")],
+            ]
+            return pa.RecordBatch.from_arrays(columns, asked.names)
+
+        for batch in batches:
+            at = 0
+            for texts in chunks([t or "" for t in batch.column("text").to_pylist()]):
+                block.add([units.split(t) for t in texts], sum(map(len, texts)))
+                ids.append(batch.column("id").slice(at, len(texts)))
+                at += len(texts)
+                if block.chars >= BLOCK_CHARS:
+                    yield flush()
+        if ids:
+            yield flush()
 
     def answer(table: pa.Table) -> pa.Table:
-        units = load_units(path)
-        asked = table.column("words").to_pylist()
-        words = list(set().union(*asked))
-        ids, sizes = units.merge(words)
+        asked_words = [_unpack_words(w) for b, w in zip(table["block"].to_pylist(), table["words"].to_pylist()) if b]
+        blocks = [b for b in table["block"].to_pylist() if b]
+        words = list(set().union(*asked_words))
+        ids, sizes = load_units(path).merge(words) if words else (np.zeros(0, np.int32), np.zeros(0, np.int64))
         starts = np.cumsum(sizes) - sizes
         code = {w: k for k, w in enumerate(words)}
-        all_ids, all_sizes = [], []
-        for part in asked:
+        out_sizes, out_ids = [], []
+        for part in asked_words:
             at = np.fromiter(map(code.__getitem__, part), np.int64, len(part))
-            all_sizes.append(sizes[at].astype("<u4").tobytes())
-            all_ids.append(ids[_gather(starts[at], sizes[at])].astype("<u4" if units.n_ids > 65536 else "<u2").tobytes())
+            out_sizes.append(_pack(sizes[at]))
+            out_ids.append(_pack(ids[_gather(starts[at], sizes[at])]))
+        numbers = [n for n, b in zip(table["number"].to_pylist(), table["block"].to_pylist()) if b]
         return pa.table(
             {
-                "block": table.column("block"),
-                "bucket": table.column("bucket"),
-                "sizes": pa.array(all_sizes, pa.binary()),
-                "word_ids": pa.array(all_ids, pa.binary()),
+                "key": pa.array(blocks, pa.string()),
+                "bucket": pa.array(numbers, pa.int64()),
+                "unit_sizes": pa.array(out_sizes, pa.binary()),
+                "unit_ids": pa.array(out_ids, pa.binary()),
             }
         )
 
-    def join_back(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        units = load_units(path)
-        split = [units.split(text.as_py() or "") for text in texts.column("text")]
-        words, _ = _asked(set().union(*split), n)
+    def join_back(own: pa.Table, answers: pa.Table) -> pa.Table:
+        documents = own.filter(pa.compute.is_null(own["block"]))
+        if not len(documents):
+            return pa.table({id_col: own["ids"].combine_chunks().values.slice(0, 0), "ids": pa.array([], pa.list_(pa.int32()))})
+        row = documents.slice(0, 1)
         answers = answers.sort_by("bucket")
-        sizes = np.frombuffer(b"".join(answers.column("sizes").to_pylist()), "<u4").astype(np.int64)
-        ids = np.frombuffer(
-            b"".join(answers.column("word_ids").to_pylist()), "<u4" if units.n_ids > 65536 else "<u2"
-        ).astype(np.int32)
+        sizes = np.concatenate([np.zeros(0, np.int64), *map(_unpack, answers["unit_sizes"].to_pylist())])
+        ids = np.concatenate([np.zeros(0, np.int64), *map(_unpack, answers["unit_ids"].to_pylist())]).astype(np.int32)
+        if len(sizes) != row["number"][0].as_py():
+            raise RuntimeError("the words of a block and the answers to it differ: the input changed its row order")
         starts = np.cumsum(sizes) - sizes
-        code = {w: k for k, w in enumerate(words)}
-        flat, per_text = [], []
-        for part in split:
-            at = np.fromiter(map(code.__getitem__, part), np.int64, len(part))
-            flat.append(ids[_gather(starts[at], sizes[at])])
-            per_text.append(len(flat[-1]))
-        offsets = np.r_[0, np.cumsum(np.array(per_text, np.int64))]
+        words = _unpack(row["places"][0].as_py())[_unpack(row["words"][0].as_py())]
+        per_text = _unpack(row["sizes"][0].as_py())
+        ends = np.r_[0, np.cumsum(sizes[words])][np.r_[0, np.cumsum(per_text)]]
         lists = pa.ListArray.from_arrays(
-            offsets.astype(np.int32), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
+            pa.array(ends, pa.int32()), pa.array(ids[_gather(starts[words], sizes[words])], pa.int32())
         )
-        return pa.table({id_col: texts.column("id"), "ids": lists})
+        return pa.table({id_col: row["ids"].combine_chunks().flatten(), "ids": lists})
 
-    answers = (
-        keyed.groupBy("block")
-        .applyInArrow(ask, "block int, bucket int, words array<string>")
-        .groupBy("bucket")
-        .applyInArrow(answer, "block int, bucket int, sizes binary, word_ids binary")
-    )
+    questions = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(ask, asked)
+    answers = questions.groupBy("key").applyInArrow(answer, "key string, bucket long, unit_sizes binary, unit_ids binary")
     schema = T.StructType(
         [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     )
-    return keyed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, schema)
+    return questions.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(join_back, schema)
 
 
 def decode(encoded: DataFrame, path: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
