@@ -1,3 +1,28 @@
 """SQL that checks the queries of this subpackage, where SQL can express them."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_url_filters"] = r"""
+WITH rules(rule, host, path, verdict) AS (
+  VALUES ('com/', 'com', '/', 'allow'),
+         ('example.com/en/', 'example.com', '/en/', 'block'),
+         ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+         ('net/es/', 'net', '/es/', 'block'),
+         ('net/fr/', 'net', '/fr/', 'block')),
+numbered AS (SELECT row_number() OVER () AS row_id, page_id, coalesce(url, '') AS url FROM pages),
+cut AS (
+  SELECT row_id, page_id,
+         CASE WHEN contains(url, '://')
+              THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN contains(url, '://')
+              THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM numbered),
+fits AS (
+  SELECT c.row_id, r.rule, r.verdict,
+         row_number() OVER (PARTITION BY c.row_id ORDER BY length(r.rule) DESC) AS place
+  FROM cut c JOIN rules r
+    ON (c.host = r.host OR ends_with(c.host, '.' || r.host)) AND starts_with(c.path, r.path))
+SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM cut c LEFT JOIN fits f ON f.row_id = c.row_id AND f.place = 1
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, quality, token_counts
+from deedmill.llm import bpe, quality, token_counts, urls
 from deedmill.llm.tokenizers import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+@query
+def op2_url_filters(spark, sf_dir):
+    return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.make_rules(spark, URL_RULES))
+
+
 @query
 def op3_bpe_round_trip(spark, sf_dir):
     path = default_path("byte_bpe_50k.json")
