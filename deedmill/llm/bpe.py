@@ -30,7 +30,9 @@ from deedmill.llm.token_counts import chunks
 from deedmill.llm.tokenizers import load_units
 
 #: Characters of text in a block.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
+#: Words whose ids are put in place at once.
+PLACED = 1 << 18
 
 
 def bucket_count(docs: DataFrame, text_col: str) -> int:
@@ -208,16 +210,21 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         row = documents.slice(0, 1)
         answers = answers.sort_by("bucket")
         sizes = np.concatenate([np.zeros(0, np.int64), *map(_unpack, answers["unit_sizes"].to_pylist())])
-        ids = np.concatenate([np.zeros(0, np.int64), *map(_unpack, answers["unit_ids"].to_pylist())]).astype(np.int32)
+        ids = np.concatenate(
+            [np.zeros(0, np.int32), *(_unpack(u.as_py()).astype(np.int32) for u in answers["unit_ids"])]
+        )
         if len(sizes) != row["number"][0].as_py():
             raise RuntimeError("the words of a block and the answers to it differ: the input changed its row order")
         starts = np.cumsum(sizes) - sizes
-        words = _unpack(row["places"][0].as_py())[_unpack(row["words"][0].as_py())]
+        words = _unpack(row["places"][0].as_py()).astype(np.int32)[_unpack(row["words"][0].as_py()).astype(np.int32)]
         per_text = _unpack(row["sizes"][0].as_py())
-        ends = np.r_[0, np.cumsum(sizes[words])][np.r_[0, np.cumsum(per_text)]]
-        lists = pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()), pa.array(ids[_gather(starts[words], sizes[words])], pa.int32())
-        )
+        ends = np.r_[0, np.cumsum(sizes[words])]
+        out = np.empty(ends[-1], np.int32)
+        for at in range(0, len(words), PLACED):
+            part = words[at : at + PLACED]
+            out[ends[at] : ends[at + len(part)]] = ids[_gather(starts[part], sizes[part])]
+        ends = ends[np.r_[0, np.cumsum(per_text)]]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))
         return pa.table({id_col: row["ids"].combine_chunks().flatten(), "ids": lists})
 
     questions = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(ask, asked)
