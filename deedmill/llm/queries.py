@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, quality, token_counts, urls
+from deedmill.llm import bpe, minhash, quality, token_counts, urls
 from deedmill.llm.tokenizers import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"))
 
 
+@query
+def op5_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"), ["doc_id"])
