@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, minhash, quality, token_counts, urls
+from deedmill.llm import bpe, minhash, mixing, quality, sharding, token_counts, urls
 from deedmill.llm.tokenizers import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,21 @@ def op5_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_sharding(spark, sf_dir):
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+#: Target shares of languages; others share the rest by their tokens.
+LANG_SHARES = {"en": 0.5, "de": 0.15, "es": 0.15, "fr": 0.15}
+
+
+@query
+def op10_source_mixing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.mix(docs, keep_cols=["doc_id", "source", "lang"], lang_shares=LANG_SHARES)
