@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, minhash, mixing, quality, sharding, token_counts, urls
+from deedmill.llm import bpe, minhash, mixing, quality, sharding, token_counts, token_files, urls
 from deedmill.llm.tokenizers import default_path
+from deedmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +59,20 @@ def op5_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+#: The id that closes a document in the token files.
+END_OF_DOCUMENT = 1
+
+
+@query
+def op6_token_files(spark, sf_dir):
+    folder = scratch_path(spark, "token-files")
+    path = default_path("word_bpe_49k.json")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, path, end_id=END_OF_DOCUMENT)
+    return token_files.with_crc32(token_files.read_token_files(spark, folder)).select(
+        "doc_id", "start", "n_tokens", "ids_crc32"
+    )
+
+
 @query
 def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from deedmill.session import staged
 
-ROUNDS = 4
+ROUNDS = 6
 #: Room of a shard during the rounds, over an equal share.
 SLACK = 0.02
 #: Groups of more than this part of a shard are moved document by document, others as one.
