@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, minhash, mixing, quality, sharding, token_counts, token_files, urls
+from deedmill.llm import bpe, minhash, mixing, quality, sharding, token_counts, token_files, urls, vector_dedup
 from deedmill.llm.tokenizers import default_path
 from deedmill.session import scratch_path
 
@@ -78,6 +78,11 @@ def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_vector_near_dedup(spark, sf_dir):
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"), ["doc_id"])
