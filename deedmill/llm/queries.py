@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, minhash, mixing, quality, sharding, token_counts, token_files, urls, vector_dedup
+from deedmill.llm import bpe, minhash, mixing, pii, quality, sharding, token_counts, token_files, urls, vector_dedup
 from deedmill.llm.tokenizers import default_path
 from deedmill.session import scratch_path
 
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_pii(spark, sf_dir):
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     ("com/", "allow"),
     ("example.com/en/", "block"),
