@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from deedmill.llm.graph import components
 from deedmill.session import staged
@@ -172,7 +172,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``, ``component`` and ``row_key``.
 
     Documents are linked if 100 times the intersection of their shingle sets is
     at least ``per_hundred`` times the union; a component is what links reach, and
@@ -180,9 +180,9 @@ def near_duplicates(
     with nothing, not even with each other, and are components of their own.
     Null ids take part; they are never the least unless all ids of a component
     are null, and ``kept`` compares null-safely. Repeated rows keep a row each
-    and are judged alike. Other columns are not read.
+    and are judged alike. ``component`` numbers components of texts with words,
+    ``row_key`` is a hash of id and text. Other columns are not read.
     """
-    spark = docs.sparkSession
     sig = staged(signatures(docs, id_col, text_col, words, bands, rows), "minhash-signatures")
     classes = (
         sig.where("set_key is not null")
@@ -265,14 +265,38 @@ def near_duplicates(
     placed = classes.select("set_key", "node", "rep_id").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("rep_id").alias("component_id"))
-    named = placed.join(least, "component").select("set_key", "component_id")
+    named = placed.join(least, "component").select("set_key", "component_id", "component")
     return (
-        sig.select("id", "n_shingles", "set_key")
+        sig.select("id", "text_hash", "n_shingles", "set_key")
         .join(named, "set_key", "left")
         .select(
             F.col("id").alias(id_col),
             "n_shingles",
             F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+            "component",
+            F.xxhash64("id", "text_hash").alias("row_key"),
         )
         .withColumn("kept", F.equal_null(id_col, "component_id"))
+        .select(id_col, "n_shingles", "component_id", "kept", "component", "row_key")
     )
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, all columns unchanged: the one with the least id.
+
+    Of several rows with that id the one with the least hash stays, of equal rows
+    one. Texts without words stay, repeated rows of them once. ``options`` are
+    those of ``near_duplicates``.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("kept")
+    alone = F.col("component").isNull()
+    keepers = (
+        found.groupBy(F.coalesce("component", "row_key"), alone)
+        .agg(F.min("row_key").alias("_keeper"))
+        .select("_keeper")
+        .distinct()
+    )
+    row_key = F.xxhash64(id_col, F.xxhash64(text_col))
+    rows = docs.withColumn("_row_key", row_key).join(keepers, F.col("_row_key") == F.col("_keeper"), "left_semi")
+    place = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
+    return rows.withColumn("_place", place).where("_place = 1").select(*docs.columns)

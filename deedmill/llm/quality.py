@@ -44,6 +44,8 @@ RULES = (
 )
 #: Documents that a group needs for thresholds of its own; below, those of its language count, then those of all.
 MIN_DOCS = 100
+#: Groups whose thresholds are sent to every task; more are joined by a shuffle.
+BROADCAST_GROUPS = 100_000
 
 
 # ---- statistics of a text --------------------------------------------------------
@@ -263,6 +265,9 @@ def judge(
     cuts = thresholds(stats, lang_col="_lang", source_col="_source").select(
         F.col("_lang").alias("_l"), F.col("_source").alias("_s"), F.col("*")
     ).drop("_lang", "_source")
+    cuts = staged(cuts, "quality-cuts")
+    if cuts.count() <= BROADCAST_GROUPS:
+        cuts = F.broadcast(cuts)  # so that kept columns, texts perhaps, stay where they are
     judged = stats.join(cuts, F.equal_null("_lang", "_l") & F.equal_null("_source", "_s"), "left")
     inside = reduce(
         lambda a, b: a & b,

@@ -61,7 +61,8 @@ def op4_token_counts(spark, sf_dir):
 
 @query
 def op5_minhash_near_dedup(spark, sf_dir):
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 #: The id that closes a document in the token files.
