@@ -8,21 +8,27 @@
    most company in all its buckets) the one it meets most often.
 4. Compared are full sets, recomputed from the texts of candidates only. What is
    linked is one component.
-5. Buckets that still hold several components are *open*. In round k the k-th
-   slice of an open bucket, about ``SLICE`` members chosen by hash, is compared
-   with all its members of other components. Rounds go on until every slice of
-   every open bucket has had its turn, so no pair that shares a band is skipped
-   unless its ends are linked already. A round's pairs are linear in the bucket.
+5. Buckets that still hold several components are *open*. In small ones every
+   class meets those of other components. Classes of large ones, mostly texts that
+   share a long passage, are indexed by the rarest shingles of their sets instead:
+   of two sets as similar as asked for, both have a common one among these
+   (prefix filter), and its places bound the intersection (positional filter).
+   Such groups of classes are *settled* by steps: some members meet the whole
+   group, what is linked is merged, then eight times as many, until all had their
+   turn; members of the group's main component need none. So no pair that shares a
+   band is skipped unless its ends are linked already.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from deedmill.llm.graph import components
 from deedmill.session import staged
@@ -30,8 +36,12 @@ from deedmill.session import staged
 WORDS = 5
 #: 24 bands of 5 rows miss a pair of similarity 0.85 with a chance below 1e-6, one of 0.8 below 1e-4.
 BANDS, ROWS = 24, 5
-#: Members of an open bucket that are compared with the whole bucket in one round.
-SLICE = 32
+#: Classes in an open bucket in which all meet all of other components.
+SMALL = 16
+#: Members of a group that meet the whole group in the first step, and by what these grow from step to step.
+FIRST_STEP, GROWTH = 32, 8
+#: Classes of a step's pairs that are sent to every task, so that the sets of all others stay where they are.
+BROADCAST_NODES = 500_000
 
 _P1, _P2, _P3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -150,16 +160,123 @@ def _verified(pairs: DataFrame, sets: DataFrame, per_hundred: int) -> DataFrame:
             out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
             yield out.filter(pa.array(linked, pa.bool_()))
 
+    nodes = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "minhash-nodes")
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    needed = sets.join(nodes, "node", "left_semi")
     joined = (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+        pairs.join(needed.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
+        .join(needed.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
         .select("a", "b", "set_a", "set_b")
     )
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _similar_sizes(a: Column, b: Column, per_hundred: int) -> Column:
-    return 100 * F.least(a, b) >= per_hundred * F.greatest(a, b)
+@dataclass
+class _Known:
+    """What is known of the classes so far."""
+
+    sets: DataFrame
+    tested: DataFrame
+    links: DataFrame
+    labels: DataFrame
+    per_hundred: int
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the component of ``node``; without links a class is a component of its own."""
+        return df.join(self.labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    def learn(self, pairs: DataFrame) -> None:
+        fresh = staged(pairs.join(self.tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        if fresh.isEmpty():
+            return
+        found = staged(_verified(fresh, self.sets, self.per_hundred), "minhash-links")
+        self.tested = self.tested.union(fresh)
+        if not found.isEmpty():
+            self.links = self.links.union(found)
+            self.labels = staged(components(self.links), "minhash-labels")
+
+
+def _open_groups(placed: DataFrame) -> DataFrame:
+    """Groups (``key``) of several components, with their size and the component of most members."""
+    cells = placed.groupBy("key", "component").agg(F.count("*").alias("n_in"))
+    return (
+        cells.groupBy("key")
+        .agg(F.sum("n_in").alias("size"), F.count("*").alias("parts"), F.max_by("component", "n_in").alias("main"))
+        .where("parts > 1")
+    )
+
+
+def _settle(groups: DataFrame, known: _Known) -> None:
+    """Compare what is in one group (``key``, ``node``, ``n``, ``place``) and not in one component.
+
+    ``place`` is that of the group's shingle in the order of the set's shingles (0
+    if the group has none): nothing before it is common with the first such group.
+    """
+    step = 0
+    while True:
+        placed = known.placed(groups)
+        rank = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 40)) / float(1 << 40) * F.col("size")
+        turn = F.floor(F.log(1 + (GROWTH - 1) * rank / FIRST_STEP) / math.log(GROWTH)).cast("int")
+        waiting = placed.join(_open_groups(placed), "key").withColumn("turn", turn)
+        waiting = staged(waiting, "minhash-open")
+        aside = F.col("component") != F.col("main")
+        if waiting.where(aside & (F.col("turn") >= step)).isEmpty():
+            return
+        called = waiting.where(aside & (F.col("turn") == step)).select(
+            "key",
+            F.col("node").alias("x"),
+            F.col("n").alias("x_n"),
+            F.col("place").alias("x_place"),
+            F.col("component").alias("x_component"),
+        )
+        most = F.least(F.col("n") - F.col("place"), F.col("x_n") - F.col("x_place"))
+        can = 100 * most >= known.per_hundred * (F.col("n") + F.col("x_n") - most)
+        apart = F.col("component") != F.col("x_component")
+        met = waiting.select("key", "node", "n", "place", "component").join(
+            called, (waiting["key"] == called["key"]) & apart & can
+        )
+        known.learn(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct())
+        step += 1
+
+
+def _rare_shingles(nodes: DataFrame, sets: DataFrame, per_hundred: int) -> DataFrame:
+    """Groups of ``nodes`` (``node``, ``n``) by the shingles of their prefixes.
+
+    Shingles are ordered by how many of the nodes have them. Two sets of n and m
+    with the similarity asked for have ``overlap`` elements in common or more, so
+    the first common one is among the first n - overlap + 1 of either set.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, n, packed in zip(batch.column("node"), batch.column("n"), batch.column("shingles")):
+                hashes = np.frombuffer(packed.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashes),
+                        pa.array(np.full(len(hashes), node.as_py(), np.int64)),
+                        pa.array(np.full(len(hashes), n.as_py(), np.int32)),
+                    ],
+                    ["key", "node", "n"],
+                )
+
+    rows = staged(
+        nodes.join(sets, "node").select("node", "n", "shingles").mapInArrow(run, "key long, node long, n int"),
+        "minhash-shingles",
+    )
+    shared = rows.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
+    # shingles of one holder come first and are in no group: only how many there are matters
+    common = rows.join(shared, "key")
+    own = Window.partitionBy("node").orderBy("holders", "key")
+    ranked = common.withColumns(
+        {"nth": F.row_number().over(own), "in_common": F.count("*").over(Window.partitionBy("node"))}
+    )
+    place = F.col("n") - F.col("in_common") + F.col("nth") - 1
+    overlap = F.ceil(F.col("n") * per_hundred / 100)
+    return ranked.withColumn("place", place.cast("int")).where(F.col("place") <= F.col("n") - overlap).select(
+        "key", "node", "n", "place"
+    )
 
 
 def near_duplicates(
@@ -217,7 +334,7 @@ def near_duplicates(
     sizes = classes.select(F.col("node").alias("centre"), F.col("n").alias("centre_n"))
     pairs = (
         first.join(sizes, "centre")
-        .where(_similar_sizes(F.col("n"), F.col("centre_n"), per_hundred))
+        .where(100 * F.least("n", "centre_n") >= per_hundred * F.greatest("n", "centre_n"))
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         .distinct()
     )
@@ -227,42 +344,15 @@ def near_duplicates(
 
     tested = staged(pairs, "minhash-pairs")
     links = staged(_verified(tested, sets, per_hundred), "minhash-links")
-    labels = staged(components(links), "minhash-labels")
-    turn = 0
-    while True:
-        # a node without links is a component of its own
-        now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_buckets = (
-            now.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-            .where("low <> high")
-            .select("bucket", F.ceil(F.col("size") / SLICE).alias("slices"))
-            .where(F.col("slices") > turn)
-        )
-        waiting = staged(now.join(open_buckets, "bucket"), "minhash-open")
-        if waiting.isEmpty():
-            break
-        seat = F.pmod(F.xxhash64("bucket", "node"), F.col("slices"))
-        called = waiting.where(seat == turn).select(
-            "bucket", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component")
-        )
-        fresh = (
-            waiting.join(called, "bucket")
-            .where(F.col("component") != F.col("x_component"))
-            .where(_similar_sizes(F.col("n"), F.col("x_n"), per_hundred))
-            .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        fresh = staged(fresh, "minhash-pairs")
-        found = staged(_verified(fresh, sets, per_hundred), "minhash-links")
-        tested = tested.union(fresh)
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = staged(components(links), "minhash-labels")
-        turn += 1
-
-    placed = classes.select("set_key", "node", "rep_id").join(labels, "node", "left")
+    known = _Known(sets, tested, links, staged(components(links), "minhash-labels"), per_hundred)
+    groups = members.select(F.col("bucket").alias("key"), "node", "n", F.lit(0).alias("place"), "members")
+    _settle(groups.where(F.col("members") <= SMALL).drop("members"), known)
+    large = known.placed(groups.where(F.col("members") > SMALL))
+    waiting = staged(large.join(_open_groups(large), "key").select("node", "n").distinct(), "minhash-waiting")
+    if not waiting.isEmpty():
+        _settle(staged(_rare_shingles(waiting, sets, per_hundred), "minhash-prefixes"), known)
+
+    placed = classes.select("set_key", "node", "rep_id").join(known.labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     named = placed.join(least, "component").select("set_key", "component_id", "component")
