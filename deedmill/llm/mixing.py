@@ -26,18 +26,18 @@ MAX_RATIO = 2.5
 BROADCAST_CELLS = 100_000
 #: Ways in which a hot cell is spread over that shuffle.
 SPREAD = 16
+_SPACES = " \t\n\x0b\x0c\r"
 
 
 def word_count(text: Column) -> Column:
-    spaces = F.lit(" \t\n\x0b\x0c\r")
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), spaces)
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACES))
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, r"[\x20\x09-\x0D]+"))).cast("long")
 
 
 def form_topic(text: Column) -> Column:
     """A topic by the form of a text, for corpora that come without one."""
     return (
-        F.when(text.isNull() | (F.length(text) == 0), "empty")
+        F.when(F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACES)) == "", "empty")
         .when(F.contains(text, F.lit(" | ")), "table")
         .when(F.length(text) < 400, "short")
         .when(F.length(text) < 4000, "medium")
@@ -120,11 +120,11 @@ def mix(
 ) -> DataFrame:
     """One row per row of ``docs``: ``keep_cols``, ``topic``, ``n_tokens``, ``cell_weight``, ``probability`` and ``sampled``.
 
-    Tokens are words. Null sources and languages are values of their own; null
-    and empty texts have topic ``empty``, no tokens and probability 0. Rows equal
+    Tokens are words. Null sources and languages are values of their own; null,
+    empty and blank texts have topic ``empty``, no tokens and probability 0. Rows equal
     in id and text share their fate; a null id counts as a value. The cell with
     the largest ratio of weight to tokens gets probability 1, the others in
-    proportion. ``keep_cols`` (default: the id) may be any columns of
+    proportion, so that about 1 / ``MAX_RATIO`` of all tokens or more is expected. ``keep_cols`` (default: the id) may be any columns of
     ``docs``; others are not read.
     """
     keep = keep_cols or [id_col]
@@ -147,7 +147,11 @@ def mix(
             "topic": margin(counted, "topic", power=topic_power),
         },
     )
-    top = raked.agg(F.max(F.col("weight") / F.col("tokens"))).first()[0] or 1.0
+    top, weights, tokens = raked.agg(
+        F.max(F.col("weight") / F.col("tokens")), F.sum("weight"), F.sum("tokens")
+    ).first()
+    # capped weights add up to less than 1: the bound is one over the average of what is there
+    top = min(top, MAX_RATIO * weights / tokens) if tokens else 1.0
     named = raked.select(
         F.col("source").alias("_s"),
         F.col("lang").alias("_l"),

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from deedmill.session import staged
 
 ROUNDS = 6
-#: Room of a shard during the rounds, over an equal share.
-SLACK = 0.02
+#: Room of a shard during the rounds, over an equal share; at the end documents without company make way.
+SLACK = 0.1
 #: Groups of more than this part of a shard are moved document by document, others as one.
 WHOLE = 0.02
 
@@ -77,20 +77,24 @@ def _propagate(members: DataFrame, loads: list[int], share: float, turn: int) ->
     split = groups.where("parts > 1").select(
         F.col("text_key").alias("group"), "target", "group_rows"
     )
+    large = F.col("group_rows") > WHOLE * share
     wishes = cells.join(split, F.col("text_key") == F.col("group")).where("shard <> target")
     flows = {
-        (r["shard"], r["target"]): r["n"]  # at most one row for each pair of shards
-        for r in wishes.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
+        (r["shard"], r["target"], r["large"]): r["n"]  # two rows at most for each pair of shards
+        for r in wishes.groupBy("shard", "target", large.alias("large")).agg(F.sum("n").alias("n")).collect()
     }
-    into = [sum(n for (_, t), n in flows.items() if t == k) for k in range(shards)]
+    into = {(t, g): sum(n for (_, k, h), n in flows.items() if (k, h) == (t, g)) for t in range(shards) for g in (True, False)}
     part = F.lit(0.0)
-    for (s, t), n in flows.items():
+    for (s, t, g), n in flows.items():
         room = max(0.0, share * (1 + SLACK) - loads[t])
-        allowed = min(n, flows.get((t, s), 0)) + room * n / into[t]
-        part = F.when((F.col("shard") == s) & (F.col("target") == t), F.lit(min(1.0, allowed / n))).otherwise(part)
-    chance = F.when(F.col("group_rows") > WHOLE * share, _unit("uid", F.lit(turn))).otherwise(
-        _unit("text_key", "shard", F.lit(turn))
-    )
+        back, here = flows.get((t, s, False), 0), flows.get((s, t, False), 0)
+        if g:  # a large group takes what others leave, or it would keep them all apart
+            allowed = max(0, back - here) + max(0.0, room - into[t, False]) * n / into[t, True]
+        else:
+            allowed = back + flows.get((t, s, True), 0) + room * n / into[t, False]
+        here = (F.col("shard") == s) & (F.col("target") == t) & (large == g)
+        part = F.when(here, F.lit(min(1.0, allowed / n))).otherwise(part)
+    chance = F.when(large, _unit("uid", F.lit(turn))).otherwise(_unit("text_key", "shard", F.lit(turn)))
     goes = F.col("target").isNotNull() & (F.col("shard") != F.col("target")) & (chance < part)
     return members.join(split, F.col("text_key") == F.col("group"), "left").select(
         "uid", "text_key", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")
