@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def _first_number(text: Column) -> Column:
+    """The first number in a text, commas between its thousands taken out; empty if there is none."""
+    found = F.regexp_extract(text.cast("string"), r"-?(?:\d{1,3}(?:,\d{3})+(?!\d)|\d+)(?:\.\d+)?|-?\.\d+", 0)
+    return F.regexp_replace(found, ",", "")
+
+
 def clean_number(text: Column) -> Column:
-    """Digits of a count field as a number: ``"1,250 "`` gives 1250.0, junk NULL."""
-    return F.regexp_replace(text.cast("string"), r"[^0-9.\-]", "").try_cast("double")
+    """The first number of a count field: ``"1,250 "`` gives 1250.0, ``"2 full 1 half"`` 2.0, junk NULL."""
+    return _first_number(text).try_cast("double")
 
 
 def clean_int(text: Column) -> Column:
-    return F.floor(clean_number(text)).try_cast("long")
+    """As ``clean_number``, rounded down, exact up to 28 digits and NULL beyond a long."""
+    return F.floor(_first_number(text).try_cast("decimal(38,10)")).try_cast("long")
 
 
 def clean_date(text: Column) -> Column:

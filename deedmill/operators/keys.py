@@ -19,9 +19,8 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataF
     placed rows are frozen first: the ranges come from a sample, and counting
     and numbering must see the same ones.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = freeze(
-        df.repartitionByRange(tasks, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
@@ -52,11 +51,22 @@ def surrogate_keys(
     fresh = ids.select(*natural).distinct()
     if known is None:
         return dense_index(fresh, natural, name)
+    fresh, (kept, top) = _known_of(freeze(fresh), natural, name, known)
+    numbered = dense_index(fresh.join(kept, list(natural), "left_anti"), natural, name)
+    return kept.unionByName(numbered.withColumn(name, F.col(name) + top))
+
+
+def _known_of(
+    rows: DataFrame, natural: Sequence[str], name: str, known: DataFrame
+) -> tuple[DataFrame, tuple[DataFrame, int]]:
+    """``rows``, their known keys, and the highest key of all.
+
+    A small load is broadcast to the known keys, which are filtered where they
+    lie; only what matches is joined afterwards.
+    """
     known = known.select(*natural, F.col(name).cast("long").alias(name))
     top = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
-    numbered = dense_index(fresh.join(known, list(natural), "left_anti"), natural, name)
-    kept = known.join(fresh, list(natural), "left_semi")
-    return kept.unionByName(numbered.withColumn(name, F.col(name) + top))
+    return rows, (freeze(known.join(rows.select(*natural), list(natural), "left_semi")), top)
 
 
 def attach_keys(
@@ -79,10 +89,9 @@ def attach_keys(
         return df.join(keys, natural).select(name, *df.columns)
     if known is None:
         return dense_index(df, natural, name).select(name, *df.columns)
-    known = known.select(*natural, F.col(name).cast("long").alias(name))
-    top = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    rows, (kept, top) = _known_of(freeze(df), natural, name, known)
     # rows without a key sort first and so get 1..M
-    matched = df.join(known, natural, "left").withColumn("_known", F.col(name).isNotNull())
+    matched = rows.join(kept, natural, "left").withColumn("_known", F.col(name).isNotNull())
     numbered = dense_index(matched, ["_known", *natural], "_idx")
     return numbered.withColumn(name, F.coalesce(F.col(name), F.col("_idx") + top)).select(
         name, *df.columns

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_UNITS = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40, "p": 2**50}
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``; None where it cannot be read."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:
-        return None
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def threshold_bytes(text: str) -> int:
+    """A size as Spark's settings write it: ``10485760``, ``256k``, ``10mb``, ``-1``."""
+    digits = text.strip().lower().removesuffix("b")
+    unit = _UNITS.get(digits[-1:], 1)
+    return int(digits.rstrip("".join(_UNITS))) * unit
 
 
 def catalyst_will_broadcast(df: DataFrame) -> bool:
     """Is the estimate within the session's own broadcast threshold?"""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    digits = limit.lower().rstrip("b").strip()
-    unit = {"k": 2**10, "m": 2**20, "g": 2**30}.get(digits[-1:], 1)
-    allowed = int(digits.rstrip("kmg")) * unit
-    size = estimated_bytes(df)
-    return size is not None and 0 <= size <= allowed
+    return 0 <= estimated_bytes(df) <= threshold_bytes(limit)

@@ -81,13 +81,11 @@ def lookup_left(
         keyed = keyed.join(F.broadcast(hot_dim), "_key", "left")
         aside = aside | F.coalesce(F.col("_hot"), F.lit(False))
     slot = F.when(aside, 1 + F.pmod(F.xxhash64(spread_by), F.lit(SPREAD))).otherwise(0)
-    # a keyless row takes some value of the key's type, in a slot of its own
-    no_key = F.lit("0").cast(lookup.schema["_key"].dataType)
     place = lambda k, n: F.struct(k.alias("key"), n.cast("long").alias("slot"))
     # one struct as key: a constant slot beside the key would be taken out of the
     # hash as a mere filter on the left side, and nothing would be spread
     cold = lookup.select(place(F.col("_key"), F.lit(0)).alias("_place"), values.alias("_values"))
-    joined = keyed.withColumn("_place", place(F.coalesce("_key", no_key), slot)).join(
+    joined = keyed.withColumn("_place", place(F.col("_key"), slot)).join(
         cold, "_place", "left"
     )
     found = F.col("_values")

@@ -12,6 +12,7 @@ from deedmill.operators.joins import pending
 from deedmill.plans.audit import FAILED, LOG_SCHEMA, OK, completed_months, read_log
 from deedmill.plans.extract import RAW_TABLES, raw_loads
 from deedmill.schemas import Feed
+from deedmill.session import cleans_up
 from deedmill.sources.raw import read_raw, replace_batches
 from deedmill.sources.scan import days_between
 from deedmill.sources.snapshots import path_exists
@@ -67,6 +68,7 @@ def _load(frames: dict[str, DataFrame], base: str, months: Sequence[str]) -> dic
     return counts
 
 
+@cleans_up
 def backfill_job(
     source: DataFrame,
     properties: DataFrame,

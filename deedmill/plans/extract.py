@@ -138,8 +138,14 @@ def extract_job(
     end: str | None = None,
     as_of: str | None = None,
     codes: Sequence[str] | None = USE_CODES,
+    run: str | None = None,
 ) -> dict:
-    """Land one window (yesterday to today unless given); returns counts per table."""
+    """Land one window (yesterday to today unless given); returns counts per table.
+
+    A run that is given a name lands under it and replaces what an earlier try
+    of that name has left, table by table. Without a name loads are appended
+    under the window's last day.
+    """
     spark = source.sparkSession
     # two literal days; one row, not data
     first, last = spark.range(1).select(*default_window(start, end, as_of)).first()
@@ -147,5 +153,6 @@ def extract_job(
     frames = extract_frames(
         source, properties, feed, F.lit(first), F.lit(last), F.lit(stamp).cast("timestamp"), codes
     )
-    counts = {t: append_raw(df, f"{base}/{t}", str(last), t) for t, df in frames.items()}
+    batch, again = run or str(last), run is not None
+    counts = {t: append_raw(df, f"{base}/{t}", batch, t, replace=again) for t, df in frames.items()}
     return {"date_range": {"start": str(first), "end": str(last)}, **load_summary(counts)}

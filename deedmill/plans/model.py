@@ -54,7 +54,7 @@ def latest_properties(raw: DataFrame) -> DataFrame:
 
 def project_dim_property(properties: DataFrame, feed: Feed) -> DataFrame:
     """All dimension columns but the surrogate key."""
-    whole = lambda name: F.col(name).try_cast("double").cast("int")
+    whole = lambda name: F.col(name).try_cast("double").try_cast("int")
     money = lambda name: F.col(name).try_cast(schemas.MONEY)
     return properties.select(
         "tax_assessor_id",

@@ -12,7 +12,7 @@ from deedmill.plans.audit import load_summary
 from deedmill.plans.extract import RAW_TABLES
 from deedmill.schemas import Feed
 from deedmill.sources.raw import read_raw
-from deedmill.session import staging
+from deedmill.session import cleans_up, staging
 from deedmill.sources.snapshots import (
     read_partitions,
     read_snapshot,
@@ -50,6 +50,7 @@ def read_model(spark: SparkSession, base: str, table: str) -> DataFrame | None:
     return read_snapshot(spark, f"{base}/{table}")
 
 
+@cleans_up
 def transform_job(
     spark: SparkSession,
     raw_base: str,
@@ -93,6 +94,7 @@ def transform_job(
     return load_summary(counts)
 
 
+@cleans_up
 def bridges_job(spark: SparkSession, raw_base: str, model_base: str, feed: Feed) -> dict:
     """Rebuild both bridges from the model's current state."""
     raw = read_raw_tables(spark, raw_base)

@@ -6,9 +6,11 @@ from pyspark.sql import SparkSession
 
 from deedmill.plans import quality
 from deedmill.plans.transform import read_model
+from deedmill.session import cleans_up
 from deedmill.sources.snapshots import read_snapshot, write_snapshot
 
 
+@cleans_up
 def validate_job(
     spark: SparkSession, model_base: str, report_base: str, start=None, end=None
 ) -> dict:

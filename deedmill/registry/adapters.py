@@ -154,16 +154,17 @@ def _line_pk(tag: str) -> Column:
 
 
 def line_grantors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "N")
+    """A seller per line; those of lines that were not returned have no name."""
+    lines = table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     joined = lookup_left(
-        lines.select("l_orderkey", "l_linenumber", "l_suppkey"), suppliers, "l_suppkey", ["s_name"],
+        lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag"), suppliers, "l_suppkey", ["s_name"],
         F.col("l_suppkey").isNotNull(), F.struct("l_orderkey", "l_linenumber"),
     )
     return joined.select(
         text("l_orderkey").alias("recorder_id"),
         _line_pk("s").alias(FEED.party_key("grantor")),
-        _spelled("s_name").alias("grantor_name"),
+        F.when(F.col("l_returnflag") != "N", _spelled("s_name")).alias("grantor_name"),
         F.lit(None).cast("string").alias("grantor_address"),
         F.lit("CORP").alias("grantor_entity_code"),
         F.lit(None).cast("string").alias("grantor_first_name"),
@@ -209,8 +210,10 @@ PROPERTY = {
     "situs_county": "concat('County ', cast(c_nationkey as string))",
     "property_use_standardized_code": "c_mktsegment",
     "year_built": "cast(1900 + c_custkey % 120 + {version} as string)",
-    "building_sq_ft": "case when c_custkey % 11 = 0 then 'n/a' else cast(500 + c_custkey % 9000 as string) end",
-    "lot_size_sq_ft": "cast(1000 + c_custkey % 20000 as string)",
+    "building_sq_ft": """case when c_custkey % 11 = 0 then 'n/a' when c_custkey % 23 = 0 then 'NaN'
+        else cast(500 + c_custkey % 9000 as string) end""",
+    "lot_size_sq_ft": """case when c_custkey % 29 = 0 then '99999999999' when c_custkey % 31 = 0 then '1e400'
+        else cast(1000 + c_custkey % 20000 as string) end""",
     "units_count": "cast(c_custkey % 300 as string)",
     "assessed_value_total": "cast(cast(c_acctbal + {version} as decimal(18,2)) as string)",
     "market_value_total": "cast(cast(c_acctbal * 2 as decimal(18,2)) as string)",

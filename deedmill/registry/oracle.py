@@ -119,8 +119,8 @@ props AS (
     'County ' || CAST(c_nationkey AS VARCHAR) AS property_county,
     c_mktsegment AS property_use_code,
     CAST(1900 + c_custkey % 120 + version AS INTEGER) AS year_built,
-    CASE WHEN c_custkey % 11 <> 0 THEN CAST(500 + c_custkey % 9000 AS INTEGER) END AS building_sqft,
-    CAST(1000 + c_custkey % 20000 AS INTEGER) AS land_sqft,
+    CASE WHEN c_custkey % 11 <> 0 AND c_custkey % 23 <> 0 THEN CAST(500 + c_custkey % 9000 AS INTEGER) END AS building_sqft,
+    CASE WHEN c_custkey % 29 <> 0 AND c_custkey % 31 <> 0 THEN CAST(1000 + c_custkey % 20000 AS INTEGER) END AS land_sqft,
     CAST(c_custkey % 300 AS INTEGER) AS units_count,
     CAST(CAST(c_acctbal + version AS DECIMAL(18,2)) AS DOUBLE) AS assessed_value,
     CAST(CAST(c_acctbal * 2 AS DECIMAL(18,2)) AS DOUBLE) AS market_value,
@@ -152,20 +152,25 @@ ORACLE["date_range_scan"] = f"""
 SELECT o_orderkey, strftime(o_orderdate, {_TIME}) AS o_orderdate, o_totalprice FROM orders
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1998-02-28'"""
 
-ORACLE["nested_projection_toggle"] = f"""
-{_with(_TXN)}
-SELECT recorder_id, tax_assessor_id,
+_FLAT = f"""recorder_id, tax_assessor_id,
   strftime(document_recorded_date, {_DAY}) AS document_recorded_date,
   strftime(document_instrument_date, {_DAY}) AS document_instrument_date,
   document_number_formatted, document_type_code,
   CAST(document_amount AS DOUBLE) AS document_amount, CAST(transfer_tax_amount AS DOUBLE) AS transfer_tax_amount,
   arms_length_code, inter_family_flag, is_foreclosure_auction_sale, is_quit_claim, new_construction_flag,
-  resale_flag, property_address, property_city, property_state, property_zip, feed_ingest_datetime
-FROM txn WHERE document_recorded_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
+  resale_flag, property_address, property_city, property_state, property_zip, feed_ingest_datetime"""
+
+ORACLE["nested_projection_toggle"] = f"""
+{_with(_TXN)}
+SELECT {_FLAT}, CASE WHEN o_orderkey % 8 <> 0 THEN o_orderkey % 4 END AS grantors,
+  CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 3 END AS grantees FROM txn
+UNION ALL
+SELECT {_FLAT}, -1, -1 FROM txn"""
 
 ORACLE["page_slice"] = f"""
-SELECT strftime(o_orderdate, {_TIME}) AS o_orderdate, o_orderkey, o_totalprice FROM (
-  SELECT * FROM orders ORDER BY orders.o_orderdate, o_orderkey LIMIT 500 OFFSET 1500)"""
+SELECT strftime(d, {_TIME}) AS o_orderdate, o_orderkey, o_totalprice FROM (
+  SELECT *, CASE WHEN o_orderkey % 3 <> 0 THEN orders.o_orderdate END AS d
+  FROM orders ORDER BY d NULLS FIRST, o_orderkey LIMIT 450 OFFSET 450)"""
 
 ORACLE["capped_scan"] = f"""
 SELECT strftime(o_orderdate, {_TIME}) AS o_orderdate, o_orderkey FROM (
@@ -182,8 +187,10 @@ SELECT CAST(c_custkey AS VARCHAR) AS tax_assessor_id, c_name AS assessor_parcel_
   'City ' || CAST(c_custkey % 50 AS VARCHAR) AS city, 'S' || CAST(c_custkey % 7 AS VARCHAR) AS state,
   CAST(10000 + c_custkey % 500 AS VARCHAR) AS zip, 'County ' || CAST(c_nationkey AS VARCHAR) AS situs_county,
   c_mktsegment AS property_use_standardized_code, CAST(1900 + c_custkey % 120 AS VARCHAR) AS year_built,
-  CASE WHEN c_custkey % 11 = 0 THEN 'n/a' ELSE CAST(500 + c_custkey % 9000 AS VARCHAR) END AS building_sq_ft,
-  CAST(1000 + c_custkey % 20000 AS VARCHAR) AS lot_size_sq_ft, CAST(c_custkey % 300 AS VARCHAR) AS units_count,
+  CASE WHEN c_custkey % 11 = 0 THEN 'n/a' WHEN c_custkey % 23 = 0 THEN 'NaN'
+       ELSE CAST(500 + c_custkey % 9000 AS VARCHAR) END AS building_sq_ft,
+  CASE WHEN c_custkey % 29 = 0 THEN '99999999999' WHEN c_custkey % 31 = 0 THEN '1e400'
+       ELSE CAST(1000 + c_custkey % 20000 AS VARCHAR) END AS lot_size_sq_ft, CAST(c_custkey % 300 AS VARCHAR) AS units_count,
   CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS assessed_value_total,
   CAST(CAST(c_acctbal * 2 AS DECIMAL(18,2)) AS VARCHAR) AS market_value_total,
   CAST(c_nationkey AS VARCHAR) || '.5' AS latitude,
@@ -382,16 +389,25 @@ ORACLE["party_cardinality"] = f"""
 {_with(_COUNTS)}
 SELECT grantor_count, count(*) AS n FROM party_counts GROUP BY 1"""
 
-ORACLE["upsert_latest"] = """
-WITH target AS (
-  SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+_REPRICED = """
 source AS (
-  SELECT l_orderkey AS o_orderkey, l_extendedprice AS o_totalprice FROM lineitem
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01'
-  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_extendedprice DESC) = 1)
-SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
+  SELECT l_partkey * 8 AS o_orderkey, l_extendedprice AS o_totalprice, strftime(l_shipdate, '%Y-%m') AS month
+  FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_extendedprice DESC) = 1)"""
+
+ORACLE["upsert_latest"] = f"""
+{_with(_REPRICED)}
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders t
+WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL
+SELECT s.o_orderkey, s.o_totalprice, t.o_orderpriority FROM source s LEFT JOIN orders t USING (o_orderkey)"""
+
+ORACLE["upsert_months"] = f"""
+{_with(_REPRICED)}
+SELECT o_orderkey, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS month FROM orders t
+WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
 UNION ALL
-SELECT s.o_orderkey, s.o_totalprice, t.o_orderpriority FROM source s LEFT JOIN target t USING (o_orderkey)"""
+SELECT s.o_orderkey, s.o_totalprice, t.o_orderpriority, s.month FROM source s LEFT JOIN orders t USING (o_orderkey)"""
 
 ORACLE["load_sales"] = f"""
 SELECT property_id, strftime(sale_date, {_DAY}) AS sale_date, sale_price, buyer, seller FROM (
@@ -727,7 +743,8 @@ ORACLE["clean_parcels"] = f"""
 SELECT CAST(l_partkey AS VARCHAR) AS tax_assessor_id, 'P-' || l_partkey AS identifier,
   CAST(10000 + l_partkey % 500 AS VARCHAR) AS zip, CAST(l_partkey % 60 AS VARCHAR) AS fips_code,
   CAST(l_partkey % 900 AS VARCHAR) AS census_tract, CAST(l_partkey % 9 AS VARCHAR) AS census_block_group,
-  CASE WHEN l_partkey % 6 <> 0 THEN CAST(1000 + l_partkey % 1000 AS DOUBLE) END AS room_count,
+  CASE WHEN l_partkey % 6 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN CAST(l_partkey % 1000 AS DOUBLE)
+       ELSE CAST(1000 + l_partkey % 1000 AS DOUBLE) END AS room_count,
   1900 + l_partkey % 100 AS year_built,
   CASE WHEN l_partkey % 7 <> 0 THEN strftime(l_shipdate, {_DAY}) END AS last_sale_date,
   'P-' || l_partkey || ' ' || (10000 + l_partkey % 500) AS derived_property_id,
@@ -791,5 +808,6 @@ WHERE vintage = (SELECT max(vintage) FROM areas)"""
 # ---- streaming ---------------------------------------------------------------
 
 ORACLE["incremental_ingest"] = f"""
-SELECT user_id, strftime(ts, {_TIME}) AS ts, event_type, event_id FROM (
-  SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1)"""
+SELECT user_id, strftime(day, {_TIME}) AS ts, event_type, event_id FROM (
+  SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id) = 1)"""

@@ -23,7 +23,7 @@ from deedmill.registry.adapters import FEED, table
 from deedmill.session import scratch_path, staged
 from deedmill.sources import raw, scan
 from deedmill.sources.files import load_series as keep_series
-from deedmill.sources.snapshots import read_snapshot
+from deedmill.sources.snapshots import read_partitions, read_snapshot, upsert_partitions
 from deedmill.streaming.ingest import incremental_ingest as ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,17 +74,22 @@ def date_range_scan(spark, sf_dir):
 
 @query
 def nested_projection_toggle(spark, sf_dir):
-    nested = ad.nested_transactions(spark, sf_dir)
-    return scan.scan_date_range(
-        nested.drop(schemas.MORTGAGE_ARRAY), "document_recorded_date", "1996-01-01", "1996-12-31",
-        drop_prefix=schemas.NESTED_PARTY_PREFIX,
-    )
+    """All records twice, read from files: with the parties (their numbers), and without."""
+    nested = staged(ad.nested_transactions(spark, sf_dir), "nested").drop(schemas.MORTGAGE_ARRAY)
+    dates = ("document_recorded_date", "1900-01-01", "2099-12-31")
+    flat = scan.scan_date_range(nested, *dates, drop_prefix=schemas.NESTED_PARTY_PREFIX)
+    whole = scan.scan_date_range(nested, *dates)
+    numbers = {f"{role}s": F.size(array) for role, array in schemas.PARTY_ARRAY.items()}
+    counted = whole.withColumns(numbers).drop(*schemas.PARTY_ARRAY.values())
+    return counted.unionByName(flat.withColumns({n: F.lit(-1) for n in numbers}))
 
 
 @query
 def page_slice(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
-    return scan.page_slice(orders, ["o_orderdate", "o_orderkey"], page_size=500, page=3)
+    """A late page, its rows numbered; some order values are NULL."""
+    dated = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate")).alias("o_orderdate")
+    orders = table(spark, sf_dir, "orders").select(dated, "o_orderkey", "o_totalprice")
+    return scan.page_slice(orders, ["o_orderdate", "o_orderkey"], page_size=450, page=1, shallow_rows=500)
 
 
 @query
@@ -335,17 +340,35 @@ def party_cardinality(spark, sf_dir):
 
 @query
 def upsert_latest(spark, sf_dir):
-    """Older orders as the table, repriced and newer ones as the source, some twice."""
+    """All orders as the table; the lines reprice every eighth and bring some that are new."""
+    target = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    source = dedupe.first_per_key(_repriced(spark, sf_dir), ["o_orderkey"], _repriced_order())
+    return upsert.upsert(target, source.drop("l_shipdate"), ["o_orderkey"])
+
+
+def _repriced(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_partkey") * 8).alias("o_orderkey"), F.col("l_extendedprice").alias("o_totalprice"), "l_shipdate"
+    )
+
+
+def _repriced_order():
+    return [F.desc("l_shipdate"), F.desc("o_totalprice")]
+
+
+@query
+def upsert_months(spark, sf_dir):
+    """The same upsert into a table of month folders: repriced orders move to the month of their shipping."""
+    path = scratch_path(spark, "months")
+    month = lambda day: F.date_format(day, "yyyy-MM").alias("month")
     orders = table(spark, sf_dir, "orders")
-    target = orders.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(
-        "o_orderkey", "o_totalprice", "o_orderpriority"
+    first = orders.select("o_orderkey", "o_totalprice", "o_orderpriority", month("o_orderdate"))
+    second = _repriced(spark, sf_dir)
+    upsert_partitions(first, path, ["o_orderkey"], "month")
+    upsert_partitions(
+        second.withColumn("month", month("l_shipdate")), path, ["o_orderkey"], "month", order=_repriced_order()
     )
-    lines = table(spark, sf_dir, "lineitem").where(
-        F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
-    ).select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").alias("o_totalprice"), "l_shipdate")
-    order = [F.desc("l_shipdate"), F.desc("o_totalprice")]
-    source = dedupe.first_per_key(lines, ["o_orderkey"], order).drop("l_shipdate")
-    return upsert.upsert(target, source, ["o_orderkey"])
+    return read_partitions(spark, path, "month").select("o_orderkey", "o_totalprice", "o_orderpriority", "month")
 
 
 @query
@@ -637,7 +660,10 @@ def clean_parcels(spark, sf_dir):
         F.concat(ad.text(key % 60), F.lit(".0")).alias("fips_code"),
         ad.text(key % 900).alias("census_tract"),
         F.concat(ad.text(key % 9), F.lit(".00")).alias("census_block_group"),
-        F.when(key % 6 == 0, "none").otherwise(F.concat(F.lit(" 1,"), F.lpad(ad.text(key % 1000), 3, "0"), F.lit(" rooms"))).alias("room_count"),
+        F.when(key % 6 == 0, "none")
+        .when(key % 14 == 7, F.concat(ad.text(key % 1000), F.lit(" full 1 half")))
+        .when(key % 14 == 0, F.concat(ad.text(key % 1000), F.lit("/4")))
+        .otherwise(F.concat(F.lit(" 1,"), F.lpad(ad.text(key % 1000), 3, "0"), F.lit(" rooms"))).alias("room_count"),
         F.concat(ad.text(1900 + key % 100), F.lit(".0")).alias("year_built"),
         F.when(key % 7 == 0, "unknown").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("last_sale_date"),
         "l_shipdate", "l_orderkey", "l_linenumber",
@@ -715,11 +741,13 @@ def agg_demographic(spark, sf_dir):
 
 @query
 def incremental_ingest(spark, sf_dir):
-    """Events as landed files: the newest row per user after the stream has run dry."""
-    schema = table(spark, sf_dir, "events").schema
+    """Events landed in five files, one to a batch, late ones among them and times cut to
+    the day so that many are equal: the newest row per user after the stream has run dry."""
     base = scratch_path(spark, "ingest")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("day", F.col("ts").cast("timestamp")))
+    events.repartition(5, "event_id").write.option("compression", "snappy").parquet(f"{base}/landing")
     ingest(
-        spark, sf_dir, schema, "user_id", "ts", f"{base}/raw", f"{base}/table", f"{base}/progress",
-        tiebreak=["event_id"], options={"pathGlobFilter": "events.parquet"},
+        spark, f"{base}/landing", events.schema, "user_id", "ts", f"{base}/raw", f"{base}/table", f"{base}/progress",
+        tiebreak=["event_id"], files_per_batch=1,
     )
     return read_snapshot(spark, f"{base}/table").select("user_id", "ts", "event_type", "event_id")

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,19 +45,52 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Folders of the jobs that run now, the innermost last.
+_JOBS: ContextVar[tuple[str, ...]] = ContextVar("jobs", default=())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, or under that of the job that runs."""
+    jobs = _JOBS.get()
+    return f"{jobs[-1] if jobs else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[None]:
+    """What is staged or frozen inside of the block is removed at its end.
+
+    For jobs that write their results: frames made inside must not be read after.
+    """
+    path = scratch_path(spark, "job")
+    token = _JOBS.set((*_JOBS.get(), path))
+    try:
+        yield
+    finally:
+        _JOBS.reset(token)
+        fs, folder = filesystem(spark, path)
+        fs.delete(folder, True)
+
+
+def cleans_up(job):
+    """Run a job in a folder of its own; its session is found among the arguments."""
+
+    @wraps(job)
+    def run(*args, **kwargs):
+        given = [*args, *kwargs.values()]
+        spark = next(a if isinstance(a, SparkSession) else a.sparkSession for a in given if isinstance(a, (SparkSession, DataFrame)))
+        with job_folder(spark):
+            return job(*args, **kwargs)
+
+    return run
 
 
 def freeze(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in reliable storage and cut its lineage.
 
-    Used where two later passes must see the very same rows in the very same
-    partitions (sampled ranges, sketches), also after an executor is lost.
+    Used where two later passes must see the very same rows (sampled ranges,
+    sketches), also after an executor is lost.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return staged(df, "frozen")
 
 
 def filesystem(spark: SparkSession, path: str):

@@ -66,20 +66,24 @@ def open_envelope(
     )
 
 
-def append_raw(raw: DataFrame, path: str, batch: str | Column, name: str = "rows") -> int:
+def append_raw(
+    raw: DataFrame, path: str, batch: str | Column, name: str = "rows", replace: bool = False
+) -> int:
     """Append one load to the raw table; returns the rows written.
 
-    ``batch`` names the load (a day, say) and becomes the partition. The count
-    is observed while writing. No rows, no data files.
+    ``batch`` names the load (a day, say) and becomes the partition. With
+    ``replace`` an earlier try of the same load makes way, so that a job may be
+    run again after a failure halfway. The count is observed while writing. No
+    rows, no data files.
     """
     seen = Observation(name)
-    (
-        raw.withColumn("batch", batch if isinstance(batch, Column) else F.lit(batch))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .partitionBy("batch")
-        .parquet(path)
-    )
+    rows = raw.withColumn("batch", batch if isinstance(batch, Column) else F.lit(batch))
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy("batch")
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
     return int(seen.get["rows"])
 
 

@@ -73,20 +73,20 @@ def page_slice(
     page_size: int,
     page: int = 0,
     max_records: int | None = None,
+    shallow_rows: int = SHALLOW_ROWS,
 ) -> DataFrame:
     """Page ``page`` (from 0) of ``df`` in ``order``, which must be total.
 
-    ``max_records`` caps all pages together. Early pages are a top-k. For late
-    ones the order columns are numbered in parallel and the page's numbers
-    joined back, as a top-k would bring all rows before the page to one task.
+    ``max_records`` caps all pages together. NULLs come first. Early pages are a
+    top-k. For late ones whole rows are numbered in parallel, as a top-k would
+    bring all rows before the page to one task; the rows of a page are the same.
     """
     skip = page * page_size
     take = page_size if max_records is None else max(0, min(page_size, max_records - skip))
-    if skip + take <= SHALLOW_ROWS:
+    if skip + take <= shallow_rows:
         return df.orderBy(*order).offset(skip).limit(take)
-    numbered = dense_index(df.select(*order), order, "_row")
-    wanted = numbered.where(F.col("_row").between(skip + 1, skip + take)).drop("_row")
-    return df.join(wanted, list(order), "left_semi").orderBy(*order)
+    numbered = dense_index(df, order, "_row")
+    return numbered.where(F.col("_row").between(skip + 1, skip + take)).drop("_row").orderBy(*order)
 
 
 def capped(df: DataFrame, order: Sequence[str], max_records: int | None) -> DataFrame:

@@ -17,6 +17,8 @@ from deedmill.operators.upsert import upsert
 from deedmill.session import filesystem, staging
 
 _WRITTEN = "_written"
+#: Snapshots that stay for readers that have begun before the newest came.
+KEPT_SNAPSHOTS = 3
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -52,6 +54,9 @@ def write_snapshot(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
+    for old in versions[: 1 - KEPT_SNAPSHOTS]:
+        fs, folder = filesystem(df.sparkSession, f"{base}/v{old:08d}")
+        fs.delete(folder, True)
     return int(seen.get["rows"])
 
 
@@ -101,8 +106,9 @@ def upsert_partitions(
 
     For large facts: a day's load rewrites a few months, not the table. Touched
     are the partitions of the source's rows and those that hold older versions
-    of them. A partition that would end up empty is refused, as the old rows
-    would stay behind. Returns the rows inserted or updated.
+    of them; their names are a short list, so only those folders are read in
+    full. A partition that ends up empty is removed after the others are written.
+    Returns the rows inserted or updated.
     """
     keys = list(keys)
     once = first_per_key(source, keys, order) if order else source
@@ -125,15 +131,32 @@ def _merge_partitions(
     stamp: Column | None,
 ) -> None:
     old = target.select(*keys, F.col(partition).alias("_old")).join(rows.select(*keys, partition), keys)
-    moved = old.where(F.col("_old") != F.col(partition)).select(F.col("_old").alias(partition)).distinct()
-    with staging(moved, "partitions") as left_behind:
-        wanted = rows.select(partition).distinct().union(left_behind).distinct()
-        touched = target.join(wanted, partition, "left_semi")
-        # partitions of the table are replaced while it is read, so the result comes first
-        with staging(upsert(touched, rows, keys, stamp=stamp), "merged") as merged:
-            if not left_behind.join(merged.select(partition), partition, "left_anti").isEmpty():
-                raise ValueError(f"the source empties a whole {partition}; rebuild the table")
-            _overwrite_partitions(merged, path, partition)
+    # one name for each partition
+    wanted = old.select(F.col("_old").alias(partition)).union(rows.select(partition)).distinct()
+    names = [r[0] for r in wanted.collect()]
+    touched = target.where(_is_any(partition, names))
+    # partitions of the table are replaced while it is read, so the result comes first
+    with staging(upsert(touched, rows, keys, stamp=stamp), "merged") as merged:
+        left = {r[0] for r in merged.select(partition).distinct().collect()}
+        emptied = _folders(touched.where(_is_any(partition, [n for n in names if n not in left])))
+        _overwrite_partitions(merged, path, partition)
+    for folder in emptied:
+        fs, place = filesystem(target.sparkSession, folder)
+        fs.delete(place, True)
+
+
+def _is_any(column: str, values: list) -> Column:
+    """``column`` in ``values``, NULL among them if it is; folders of others are not read."""
+    named = F.col(column).isin([v for v in values if v is not None])
+    return named | F.col(column).isNull() if None in values else named
+
+
+def _folders(rows: DataFrame) -> list[str]:
+    """The folders of the files that hold ``rows``: one for each partition."""
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+    jvm = rows.sparkSession.sparkContext._jvm
+    found = rows.select(file.alias("folder")).distinct().collect()
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r[0])).toString() for r in found]
 
 
 def _overwrite_partitions(rows: DataFrame, path: str, partition: str) -> None:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from deedmill.operators.dedupe import latest_per_key
+from deedmill.session import job_folder, staged
 from deedmill.sources.raw import replace_batches, wrap_raw
 from deedmill.sources.snapshots import read_snapshot, upsert_snapshot
 
@@ -30,8 +31,9 @@ def incremental_ingest(
     Every micro-batch lands in the raw table and its newest row per id is
     upserted into the snapshot table. A batch replayed after a failure replaces
     its own raw partition and upserts the same rows, so replays change nothing.
-    Late rows need no watermark: within the batch the newest wins, and a row
-    older than the table's own does not replace it.
+    Late rows need no watermark: rows of a batch and the table's own compete by
+    the same order (newest, then ``tiebreak``), so the result does not depend on
+    how files fall into batches. Without a total order the table's row stays.
     """
     reader = spark.readStream.format(file_format).schema(schema).options(**(options or {}))
     if files_per_batch is not None:
@@ -41,7 +43,8 @@ def incremental_ingest(
         landed = wrap_raw(batch, id_field, F.col(ts).cast("timestamp"))
         replace_batches(landed.withColumn("batch", F.lit(f"stream-{batch_id:010d}")), raw_path, many=False)
         newest = latest_per_key(batch, [id_field], ts, tiebreak)
-        merge_newest(newest, table_base, id_field, ts)
+        with job_folder(spark):
+            merge_newest(newest, table_base, id_field, ts, tiebreak)
 
     (
         reader.load(landing)
@@ -53,14 +56,17 @@ def incremental_ingest(
     )
 
 
-def merge_newest(rows: DataFrame, table_base: str, key: str, ts: str) -> int:
-    """Upsert only rows newer than the table's row of the same key."""
+def merge_newest(rows: DataFrame, table_base: str, key: str, ts: str, tiebreak: Sequence[str] = ()) -> int:
+    """Upsert ``rows`` (one per key) where they come before the table's row of the same key.
+
+    The table is only filtered by the keys of the batch, the smaller side, and
+    not shuffled for a small batch.
+    """
     current = read_snapshot(rows.sparkSession, table_base)
     if current is not None:
-        newer = current.select(key, F.col(ts).alias("_have"))
-        rows = (
-            rows.join(newer, key, "left")
-            .where(F.col("_have").isNull() | (F.col(ts) > F.col("_have")))
-            .drop("_have")
-        )
+        rows = staged(rows, "batch")
+        known = current.join(rows.select(key), key, "left_semi").withColumn("_new", F.lit(1))
+        both = rows.withColumn("_new", F.lit(2)).unionByName(known, allowMissingColumns=True)
+        winners = latest_per_key(both, [key], ts, [*tiebreak, "_new"])
+        rows = winners.where(F.col("_new") == 2).drop("_new")
     return upsert_snapshot(rows, table_base, [key])

@@ -149,6 +149,10 @@ def test_default_window(spark):
 def test_cleaning(spark):
     assert one(spark, cleaning.clean_number(F.lit(" 1,250 rooms"))) == 1250.0
     assert one(spark, cleaning.clean_number(F.lit("n/a"))) is None
+    for text, number in {"2 full 1 half": 2, "3/4": 3, "-1.5%": -1.5, "1,2,3": 1, "12,345,678.9": 12345678.9, ".5": 0.5}.items():
+        assert one(spark, cleaning.clean_number(F.lit(text))) == number
+    assert one(spark, cleaning.clean_int(F.lit("9007199254740993"))) == 9007199254740993
+    assert one(spark, cleaning.clean_int(F.lit("9" * 30))) is None
     assert one(spark, cleaning.clean_int(F.lit("1998.0"))) == 1998
     assert one(spark, cleaning.truncate_decimals(F.lit("48201.0"))) == "48201"
     assert one(spark, cleaning.truncate_decimals(F.lit("48201"))) == "48201"
