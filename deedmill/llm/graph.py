@@ -7,6 +7,17 @@ from pyspark.sql import DataFrame, functions as F
 from deedmill.session import staged
 
 
+#: Rows of a table of numbers that one task may work on: a few MB, whatever the corpus.
+GATHERED_ROWS = 200_000
+
+
+def gathered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read again; in one partition if it is small, so that joins and
+    aggregates of such tables need no exchange. Results are the same either way."""
+    df = staged(df, name)
+    return df.coalesce(1) if df.count() <= GATHERED_ROWS else df
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
@@ -44,10 +55,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     loops = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component"))
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = staged(edges, "edges")
+    edges = gathered(edges, "edges")
     mark = None
     while True:
-        edges = staged(_small_star(staged(_large_star(edges), "edges-large")), "edges-small")
+        edges = gathered(_small_star(gathered(_large_star(edges), "edges-large")), "edges-small")
         now = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
         if now == mark:
             break

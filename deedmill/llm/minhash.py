@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from deedmill.llm.graph import components
+from deedmill.llm.graph import components, gathered
 from deedmill.session import staged
 
 WORDS = 5
@@ -160,9 +160,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, per_hundred: int) -> DataFrame:
             out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
             yield out.filter(pa.array(linked, pa.bool_()))
 
-    nodes = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "minhash-nodes")
+    nodes = gathered(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "minhash-nodes")
     if nodes.count() <= BROADCAST_NODES:
         nodes = F.broadcast(nodes)
+    if pairs.count() <= BROADCAST_NODES:
+        pairs = F.broadcast(pairs)
     needed = sets.join(nodes, "node", "left_semi")
     joined = (
         pairs.join(needed.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
@@ -187,14 +189,14 @@ class _Known:
         return df.join(self.labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     def learn(self, pairs: DataFrame) -> None:
-        fresh = staged(pairs.join(self.tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        fresh = gathered(pairs.join(self.tested, ["a", "b"], "left_anti"), "minhash-pairs")
         if fresh.isEmpty():
             return
-        found = staged(_verified(fresh, self.sets, self.per_hundred), "minhash-links")
-        self.tested = self.tested.union(fresh)
+        found = gathered(_verified(fresh, self.sets, self.per_hundred), "minhash-links")
+        self.tested = gathered(self.tested.union(fresh), "minhash-tested")
         if not found.isEmpty():
-            self.links = self.links.union(found)
-            self.labels = staged(components(self.links), "minhash-labels")
+            self.links = gathered(self.links.union(found), "minhash-links")
+            self.labels = gathered(components(self.links), "minhash-labels")
 
 
 def _open_groups(placed: DataFrame) -> DataFrame:
@@ -219,7 +221,7 @@ def _settle(groups: DataFrame, known: _Known) -> None:
         rank = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 40)) / float(1 << 40) * F.col("size")
         turn = F.floor(F.log(1 + (GROWTH - 1) * rank / FIRST_STEP) / math.log(GROWTH)).cast("int")
         waiting = placed.join(_open_groups(placed), "key").withColumn("turn", turn)
-        waiting = staged(waiting, "minhash-open")
+        waiting = gathered(waiting, "minhash-open")
         aside = F.col("component") != F.col("main")
         if waiting.where(aside & (F.col("turn") >= step)).isEmpty():
             return
@@ -342,15 +344,15 @@ def near_duplicates(
     wanted = members.select("node").distinct().join(classes.select("node", "rep_id", "rep_hash"), "node")
     sets = staged(_sets(docs, wanted, id_col, text_col, words), "minhash-sets")
 
-    tested = staged(pairs, "minhash-pairs")
-    links = staged(_verified(tested, sets, per_hundred), "minhash-links")
-    known = _Known(sets, tested, links, staged(components(links), "minhash-labels"), per_hundred)
+    tested = gathered(pairs, "minhash-pairs")
+    links = gathered(_verified(tested, sets, per_hundred), "minhash-links")
+    known = _Known(sets, tested, links, gathered(components(links), "minhash-labels"), per_hundred)
     groups = members.select(F.col("bucket").alias("key"), "node", "n", F.lit(0).alias("place"), "members")
-    _settle(groups.where(F.col("members") <= SMALL).drop("members"), known)
+    _settle(gathered(groups.where(F.col("members") <= SMALL).drop("members"), "minhash-small"), known)
     large = known.placed(groups.where(F.col("members") > SMALL))
     waiting = staged(large.join(_open_groups(large), "key").select("node", "n").distinct(), "minhash-waiting")
     if not waiting.isEmpty():
-        _settle(staged(_rare_shingles(waiting, sets, per_hundred), "minhash-prefixes"), known)
+        _settle(gathered(_rare_shingles(waiting, sets, per_hundred), "minhash-prefixes"), known)
 
     placed = classes.select("set_key", "node", "rep_id").join(known.labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
-from deedmill.llm.graph import components
+from deedmill.llm.graph import components, gathered
 from deedmill.session import staged
 
 TREES = 8
@@ -225,7 +225,7 @@ def near_vectors(
     vectors = classes.select("node", "vector")
     met = leaves(classes, trees=trees, leaf=leaf, seed=seed).join(vectors, "node")
     edges = met.groupBy("leaf").applyInArrow(lambda table: _star(table, least), "a long, b long").distinct()
-    labels = staged(components(staged(edges, "vector-edges")), "vector-labels")
+    labels = gathered(components(edges), "vector-labels")
     linked = labels.join(classes.select("node", "rep", "times", "vector"), "node")
     degrees = _degrees(linked.select("node", "component", "times", "vector"), least)
     firsts = linked.groupBy("component").agg(F.min("rep").alias("first"))
