@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deedmill.operators.sizing import catalyst_will_broadcast
-from deedmill.session import freeze
+from deedmill.session import freeze, staged
 
 MAX_HOT_KEYS = 1000
 HOT_MIN_ROWS = 1_000_000
@@ -43,6 +43,12 @@ def _found_hot(df: DataFrame, key: str, max_keys: int, min_rows: int) -> DataFra
     return None if hot.isEmpty() else hot
 
 
+def settled(df: DataFrame, dim: DataFrame, name: str) -> DataFrame:
+    """``df`` as it is if ``dim`` will be broadcast to it, else written once: a lookup
+    then counts keys first, and what made ``df`` would run for that as well."""
+    return df if catalyst_will_broadcast(dim) else staged(df, name)
+
+
 def lookup_left(
     df: DataFrame,
     dim: DataFrame,

@@ -13,7 +13,7 @@ from deedmill.functions.truth import flag, truthy_text
 from deedmill.operators.dedupe import first_per_key, latest_per_key
 from deedmill.operators.joins import unique_lookup
 from deedmill.operators.keys import attach_keys
-from deedmill.operators.skew import lookup_left
+from deedmill.operators.skew import lookup_left, settled
 from deedmill.schemas import Feed
 from deedmill.sources.raw import open_envelope, resolved_ids, with_resolved_id
 
@@ -266,12 +266,13 @@ def build_fact_transaction(
     """Newest document per transaction, with its key, then the property lookup.
 
     Deduplication and keys share one partitioning by transaction id; the lookup
-    comes last, so the rows move twice in all.
+    comes last. Rows are written once before it where the dimension is large.
     """
     typed = type_transactions(latest_transactions(raw_transactions, feed))
     ids = resolved_ids(raw_transactions, "recorder_id")
     keyed = attach_keys(typed, ["recorder_id"], "transaction_key", known, ids)
-    looked = lookup_property_key(keyed, property_lookup(dim_property))
+    lookup = property_lookup(dim_property)
+    looked = lookup_property_key(settled(keyed, lookup, "fact-rows"), lookup)
     return project_fact(looked, feed, flags, ["transaction_key"])
 
 
@@ -287,21 +288,14 @@ def build_bridge_transaction_party(
     lookup and is joined apart.
     """
     one_party = F.struct("recorder_id", "source_pk", "role")
-    keyed = lookup_left(
-        parties,
-        fact.select("recorder_id", "transaction_key"),
-        "recorder_id",
-        ["transaction_key"],
-        F.col("recorder_id").isNotNull(),
-        one_party,
-        **limits,
-    ).where(F.col("transaction_key").isNotNull())
+    # a deed has few parties, so no key is hot here
+    keyed = parties.join(fact.select("recorder_id", "transaction_key"), "recorder_id")
     keyed = keyed.withColumn(
         "canonical_entity_id", canonical_id(normalize_name(F.col("name")), feed.name)
     )
     entities = dim_entity.where("is_current").select("canonical_entity_id", "entity_key")
     looked = lookup_left(
-        keyed,
+        settled(keyed, entities, "party-rows"),
         entities,
         "canonical_entity_id",
         ["entity_key"],
@@ -317,20 +311,13 @@ def build_bridge_transaction_party(
     )
 
 
-def build_bridge_property_owner(fact: DataFrame, bridge_party: DataFrame, **limits) -> DataFrame:
+def build_bridge_property_owner(fact: DataFrame, bridge_party: DataFrame) -> DataFrame:
     """Owners of a property: the grantees of its latest sale."""
     sales = fact.where(F.col("is_sale") & F.col("property_key").isNotNull()).select(
         "property_key", "transaction_key", "transaction_date"
     )
     latest = latest_per_key(sales, ["property_key"], "transaction_date", [F.desc("transaction_key")])
     owners = bridge_party.where((F.col("party_role") == "grantee") & F.col("entity_key").isNotNull())
-    owned = lookup_left(
-        owners,
-        latest.select("transaction_key", "property_key"),
-        "transaction_key",
-        ["property_key"],
-        F.col("transaction_key").isNotNull(),
-        F.struct("transaction_key", "entity_key"),
-        **limits,
-    )
-    return owned.where(F.col("property_key").isNotNull()).select("property_key", "entity_key").distinct()
+    # one sale per property and few parties per sale: no key is hot
+    owned = owners.join(latest.select("transaction_key", "property_key"), "transaction_key")
+    return owned.select("property_key", "entity_key").distinct()

@@ -16,7 +16,7 @@ from deedmill.functions.cleaning import (
     truncate_decimals,
 )
 from deedmill.operators.dedupe import first_per_key, latest_per_key
-from deedmill.operators.skew import salted_join
+from deedmill.operators.skew import salted_join, settled
 
 # --- fixed values ------------------------------------------------------------
 CURRENT_LOAN = "Current"
@@ -160,7 +160,9 @@ def agg_series(
     recent = rows.withColumn("newest", newest).where(F.col("record_date") >= start).drop("newest")
     spread = F.struct("record_date", "record_values")
     joined = salted_join(recent, mapping, "property_id", spread)
-    return joined if enrich is None else salted_join(joined, enrich, "property_id", spread)
+    if enrich is None:
+        return joined
+    return salted_join(settled(joined, enrich, "series-rows"), enrich, "property_id", spread)
 
 
 def latest_vintage(demographics: DataFrame, vintage: str | None = None) -> DataFrame:

@@ -811,3 +811,92 @@ ORACLE["incremental_ingest"] = f"""
 SELECT user_id, strftime(day, {_TIME}) AS ts, event_type, event_id FROM (
   SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id) = 1)"""
+
+
+# ---- jobs ---------------------------------------------------------------------
+
+_WINDOWS = """
+windows(batch, first_day, last_day) AS (
+  VALUES ('a', DATE '1992-01-01', DATE '1995-12-31'), ('b', DATE '1995-06-01', DATE '2009-12-31'))"""
+
+ORACLE["job_raw_transactions"] = f"""
+{_with(_TXN, _WINDOWS)}
+SELECT batch, recorder_id, tax_assessor_id, strftime(document_recorded_date, {_DAY}) AS document_recorded_date,
+  CAST(document_amount AS DOUBLE) AS document_amount,
+  CASE WHEN o_orderkey % 8 <> 0 THEN o_orderkey % 4 ELSE 0 END AS grantor_count,
+  CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 3 ELSE 0 END AS grantee_count
+FROM txn JOIN windows ON document_recorded_date BETWEEN first_day AND last_day"""
+
+ORACLE["job_raw_grantors"] = f"""
+{_with(_GRANTORS, _WINDOWS)}
+SELECT batch, e.* FROM ({_exploded("grantor", "Seller", "r")}) e
+JOIN orders ON recorder_id = CAST(o_orderkey AS VARCHAR)
+JOIN windows ON CAST(o_orderdate AS DATE) BETWEEN first_day AND last_day"""
+
+ORACLE["job_raw_mortgages"] = f"""
+{_with(_WINDOWS)}
+SELECT batch, CAST(o_orderkey AS VARCHAR) AS recorder_id, o_orderkey % 4 - (o_orderkey % 4 >= 2)::INT AS n
+FROM orders JOIN windows ON CAST(o_orderdate AS DATE) BETWEEN first_day AND last_day
+WHERE o_orderkey % 4 - (o_orderkey % 4 >= 2)::INT > 0"""
+
+# keys go by the first window an id came in, then by the id
+_JOB_KEYS = """
+row_number() OVER (ORDER BY {first} > DATE '1995-12-31', {id})"""
+
+ORACLE["job_fact"] = f"""
+{_with(_TXN, _CLASS)}
+SELECT {_JOB_KEYS.format(first="document_recorded_date", id="recorder_id")} AS transaction_key, recorder_id,
+  CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') AND tax_assessor_id <> '' THEN tax_assessor_id END
+    AS tax_assessor_id,
+  strftime(document_recorded_date, {_DAY}) AS transaction_date, CAST(document_amount AS DOUBLE) AS document_amount,
+  transaction_category, is_sale, coalesce(inter_family_flag, '') <> '' AS is_inter_family,
+  CASE WHEN o_orderkey % 8 <> 0 THEN o_orderkey % 4 ELSE 0 END AS grantor_count,
+  CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 3 ELSE 0 END AS grantee_count, property_state
+FROM classified LEFT JOIN customer ON o_custkey = c_custkey"""
+
+ORACLE["job_dim_property"] = f"""
+{_with(_TXN)}
+SELECT {_JOB_KEYS.format(first="first_day", id="tax_assessor_id")} AS property_key, tax_assessor_id,
+  c_mktsegment AS property_use_code, CAST(1900 + c_custkey % 120 AS INTEGER) AS year_built,
+  CASE WHEN c_custkey % 11 <> 0 AND c_custkey % 23 <> 0 THEN CAST(500 + c_custkey % 9000 AS INTEGER) END AS building_sqft,
+  true AS is_current
+FROM (SELECT tax_assessor_id, min(document_recorded_date) AS first_day FROM txn WHERE tax_assessor_id <> '' GROUP BY 1)
+JOIN customer ON tax_assessor_id = CAST(c_custkey AS VARCHAR)
+WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD')"""
+
+_JOB_PARTIES = f"""
+job_parties AS (
+  SELECT recorder_id, 'grantor' AS party_role, grantor_name AS party_name_raw FROM ({_exploded("grantor", "Seller", "r")})
+  WHERE grantor_name IS NOT NULL
+  UNION ALL
+  SELECT recorder_id, 'grantee', grantee_name FROM ({_exploded("grantee", "Buyer", "e")}) WHERE grantee_name IS NOT NULL)"""
+
+ORACLE["job_dim_entity"] = f"""
+{_with(_GRANTORS, _GRANTEES, _JOB_PARTIES)}
+SELECT {_JOB_KEYS.format(first="first_day", id="canonical_entity_id")} AS entity_key, canonical_entity_id,
+  true AS is_current
+FROM (SELECT 'feed::' || upper(party_name_raw) AS canonical_entity_id, min(CAST(o_orderdate AS DATE)) AS first_day
+      FROM job_parties JOIN orders ON recorder_id = CAST(o_orderkey AS VARCHAR) GROUP BY 1)"""
+
+ORACLE["job_bridge_party"] = f"""
+{_with(_GRANTORS, _GRANTEES, _JOB_PARTIES)}
+SELECT *, 'feed::' || upper(party_name_raw) AS canonical_entity_id FROM job_parties"""
+
+_JOB_ROWS = {
+    "dim_property.property_key is unique": ORACLE["job_dim_property"],
+    "dim_property (tax_assessor_id, valid_from) is unique": ORACLE["job_dim_property"],
+    "dim_entity.entity_key is unique": ORACLE["job_dim_entity"],
+    "fact_transaction.transaction_key is unique": ORACLE["job_fact"],
+    "fact_transaction.recorder_id is unique": ORACLE["job_fact"],
+}
+ORACLE["job_validate"] = " UNION ALL ".join(
+    f"SELECT '{check}' AS \"check\", count(*) AS passed, count(*) AS total FROM ({rows})"
+    for check, rows in _JOB_ROWS.items()
+)
+
+ORACLE["job_backfill"] = """
+SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, 1 AS tries FROM orders GROUP BY 1"""
+
+ORACLE["default_window"] = f"""
+SELECT o_orderkey, strftime(o_orderdate, {_DAY}) AS day FROM orders
+WHERE CAST(o_orderdate AS DATE) >= (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 1"""

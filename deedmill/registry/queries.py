@@ -17,6 +17,8 @@ from deedmill.functions.deals import classify_transaction
 from deedmill.operators import aggregates, dedupe, history, joins, keys, upsert
 from deedmill.operators.nested import explode_children
 from deedmill.plans import audit, backfill, enrich, extract, model, quality, rollups
+from deedmill.plans.transform import bridges_job, read_model, transform_job
+from deedmill.plans.validate import validate_job
 from deedmill import schemas
 from deedmill.registry import adapters as ad
 from deedmill.registry.adapters import FEED, table
@@ -736,6 +738,136 @@ def agg_demographic(spark, sf_dir):
     )
 
 
+# ---- jobs ---------------------------------------------------------------------
+
+
+#: What an application has landed already: the jobs run once for all queries that read their tables.
+_LANDED: dict[tuple[str, str, bool], str] = {}
+
+
+def _landed(spark, sf_dir, transform=False):
+    """Two windows that overlap, landed and, if asked for, modelled one after the other."""
+    known = (spark.sparkContext.applicationId, sf_dir, transform)
+    if known not in _LANDED:
+        _LANDED[known] = _land(spark, sf_dir, transform)
+    return _LANDED[known]
+
+
+def _land(spark, sf_dir, transform):
+    base = scratch_path(spark, "jobs")
+    nested = staged(ad.nested_transactions(spark, sf_dir), "nested")
+    properties = ad.property_records(spark, sf_dir)
+    for run, first, last, seen in (
+        ("a", "1992-01-01", "1995-12-31", "2025-01-01"),
+        ("b", "1995-06-01", "2009-12-31", "2025-02-01"),
+    ):
+        extract.extract_job(nested, properties, f"{base}/raw", FEED, first, last, seen, ad.USE_CODES, run=run)
+        if transform:
+            transform_job(spark, f"{base}/raw", f"{base}/model", FEED, batches=[run])
+    if transform:
+        bridges_job(spark, f"{base}/raw", f"{base}/model", FEED)
+    return base
+
+
+def _raw_rows(spark, base, name, schema):
+    rows = raw.read_raw(spark, f"{base}/raw/{name}", extract.RAW_TABLES[name])
+    return raw.open_envelope(rows, schema, ("batch",)).withColumnRenamed("_batch", "batch")
+
+
+@query
+def job_raw_transactions(spark, sf_dir):
+    """What an extract of two overlapping windows lands."""
+    rows = _raw_rows(spark, _landed(spark, sf_dir), "transactions", schemas.raw_transaction(FEED))
+    return model.type_transactions(rows).select(
+        "batch", "recorder_id", "tax_assessor_id", "document_recorded_date", "document_amount",
+        "grantor_count", "grantee_count",
+    )
+
+
+@query
+def job_raw_grantors(spark, sf_dir):
+    return _raw_rows(spark, _landed(spark, sf_dir), "grantors", schemas.raw_party(FEED, "grantor"))
+
+
+@query
+def job_raw_mortgages(spark, sf_dir):
+    base = _landed(spark, sf_dir)
+    return raw.read_raw(spark, f"{base}/raw/mortgages", "recorder_id").groupBy("batch", "recorder_id").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query
+def job_fact(spark, sf_dir):
+    """The fact after both windows: kept keys, newest documents, property looked up."""
+    base = f"{_landed(spark, sf_dir, transform=True)}/model"
+    names = read_model(spark, base, "dim_property").select("property_key", "tax_assessor_id")
+    return read_model(spark, base, "fact_transaction").join(names, "property_key", "left").select(
+        "transaction_key", "recorder_id", "tax_assessor_id", "transaction_date", "document_amount",
+        "transaction_category", "is_sale", "is_inter_family", "grantor_count", "grantee_count", "property_state",
+    )
+
+
+@query
+def job_dim_property(spark, sf_dir):
+    base = f"{_landed(spark, sf_dir, transform=True)}/model"
+    return read_model(spark, base, "dim_property").select(
+        "property_key", "tax_assessor_id", "property_use_code", "year_built", "building_sqft", "is_current"
+    )
+
+
+@query
+def job_dim_entity(spark, sf_dir):
+    base = f"{_landed(spark, sf_dir, transform=True)}/model"
+    return read_model(spark, base, "dim_entity").select("entity_key", "canonical_entity_id", "is_current")
+
+
+@query
+def job_bridge_party(spark, sf_dir):
+    base = _landed(spark, sf_dir, transform=True)
+    facts = read_model(spark, f"{base}/model", "fact_transaction").select("transaction_key", "recorder_id")
+    entities = read_model(spark, f"{base}/model", "dim_entity").select("entity_key", "canonical_entity_id")
+    bridge = read_model(spark, f"{base}/model", "bridge_transaction_party")
+    return bridge.join(facts, "transaction_key").join(entities, "entity_key", "left").select(
+        "recorder_id", "party_role", "party_name_raw", "canonical_entity_id"
+    )
+
+
+@query
+def job_validate(spark, sf_dir):
+    """The uniqueness checks of the report on the model that both windows have made."""
+    base = _landed(spark, sf_dir, transform=True)
+    validate_job(spark, f"{base}/model", f"{base}/report")
+    checks = read_snapshot(spark, f"{base}/report/dq_checks")
+    return checks.where(F.col("category") == quality.UNIQUE).select("check", "passed", "total")
+
+
+@query
+def job_backfill(spark, sf_dir):
+    """A backfill of some years, resumed over all of them: rows per month, each loaded once."""
+    base = scratch_path(spark, "backfill")
+    nested = staged(ad.nested_transactions(spark, sf_dir), "nested")
+    properties = ad.property_records(spark, sf_dir)
+    for last in ("1994-06", "2009-12"):
+        backfill.backfill_job(
+            nested, properties, f"{base}/raw", f"{base}/log", FEED, "1992-01", last, codes=ad.USE_CODES
+        )
+    landed = raw.read_raw(spark, f"{base}/raw/transactions", "recorder_id").groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    tries = audit.read_log(spark, f"{base}/log").groupBy("month").agg(F.count(F.lit(1)).alias("tries"))
+    return landed.join(tries, F.col("batch") == F.col("month")).select("month", "n", "tries")
+
+
+@query
+def default_window(spark, sf_dir):
+    """The orders of yesterday and today, today being the last day there is one."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    today = orders.agg(F.max("day")).first()[0]
+    first, last = calendar.default_window(as_of=today)
+    return scan.scan_date_range(orders, "day", first, last)
+
+
 # ---- streaming ---------------------------------------------------------------
 
 
