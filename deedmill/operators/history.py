@@ -92,8 +92,10 @@ def scd2_history(
     separate tasks. What crosses a cut (last values before it, first change
     after it) is worked out on one summary row per segment.
     """
-    versions = first_per_key(versions.select(key, ts, *attributes), [key, ts], tiebreak).select(
-        key, ts, F.struct(*attributes).alias("_value")
+    name, key = key, "_key"
+    # a struct is never NULL and equals another with NULL inside, so a NULL key is joined and cut like any other
+    versions = first_per_key(versions.select(name, ts, *attributes), [name, ts], tiebreak).select(
+        F.struct(name).alias(key), ts, F.struct(*attributes).alias("_value")
     )
     in_segment = Window.partitionBy(key, "_segment").orderBy(ts)
     before = F.lag("_value").over(in_segment)
@@ -117,8 +119,8 @@ def scd2_history(
         next_change = F.coalesce(F.lead(ts).over(in_segment), F.col("_next_change"))
     changes = placed.where(F.col("_before").isNull() | (F.col("_before") != F.col("_value")))
     return changes.select(
-        key,
-        *[F.col("_value")[name].alias(name) for name in attributes],
+        F.col(key)[name].alias(name),
+        *[F.col("_value")[a].alias(a) for a in attributes],
         F.col(ts).alias("valid_from"),
         next_change.alias("valid_to"),
         next_change.isNull().alias("is_current"),

@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+
 
 import pytest
 from pyspark.sql import functions as F
@@ -381,3 +383,13 @@ def test_append_counts_and_appends(spark, tmp_path):
     assert raw.read_raw(spark, path, "rid").groupBy("batch").count().orderBy("batch").collect() == [
         ("2024-01-01", 5), ("2024-01-02", 2),
     ]
+
+
+def test_history_cuts_a_null_key_like_others(spark):
+    rows = [(key, t, (t * 7 // 5) % 3) for key in (None, "a") for t in range(200)]
+    df = spark.createDataFrame(rows, "k string, t int, v int").withColumn("t", F.timestamp_seconds("t"))
+    cut, whole = (
+        Counter(map(tuple, history.scd2_history(df, "k", "t", ["v"], [F.asc("v")], segment_rows=n).collect()))
+        for n in (20, 1_000_000)
+    )
+    assert cut == whole and any(r[0] is None for r in cut)
