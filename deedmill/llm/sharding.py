@@ -51,7 +51,7 @@ def with_places(df: DataFrame, keys: list[str], order: list, name: str) -> DataF
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
     )
     # bounded by tasks times keys: one row for each stretch that a task has numbered
-    same = (F.col("_part") == F.col("_p")) & F.lit(True)
+    same = F.col("_part") == F.col("_p")
     for k in keys:
         same = same & F.equal_null(k, f"_{k}")
     return (
