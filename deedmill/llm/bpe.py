@@ -94,7 +94,7 @@ class _Block:
             self.sizes.append(len(words))
         self.chars += chars
 
-    def rows(self, n_buckets: int, seat: str, ids: pa.Array) -> tuple[list[dict], pa.Array]:
+    def rows(self, n_buckets: int, seat: str) -> list[dict]:
         """The row of the documents, then one question per bucket."""
         words = sorted(self.number)
         bucket = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)) % np.uint64(n_buckets)
@@ -122,7 +122,7 @@ class _Block:
         rows += [
             {"key": str(bucket[a]), "block": name, "number": int(bucket[a]), "words": w} for a, w in zip(cuts, packed)
         ]
-        return rows, ids
+        return rows
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,11 +152,11 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = load_units(path)
         seat = str(TaskContext.get().partitionId())
-        block, ids, nth, id_type = _Block(), [], 0, None
+        block, ids, nth = _Block(), [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal block, ids, nth
-            rows, own = block.rows(n_buckets, f"{seat}.{nth}", pa.concat_arrays(ids))
+            rows, own = block.rows(n_buckets, f"{seat}.{nth}"), pa.concat_arrays(ids)
             block, ids, nth = _Block(), [], nth + 1
             lists = pa.ListArray.from_arrays(
                 pa.array([0] + [len(own)] * len(rows), pa.int32()), own

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from deedmill.session import staged
+from deedmill.llm.graph import gathered
 
 #: Rounds of raking: at most, and between two looks at the margins.
 ROUNDS, STEP = 60, 4
@@ -87,8 +87,9 @@ def rake(cells: DataFrame, margins: dict[str, DataFrame], max_ratio: float = MAX
     for by, shares in margins.items():
         known = shares.select(F.col("value").alias("_value"), F.col("share").alias(f"share_{by}"))
         state = state.join(known, F.equal_null(by, "_value"), "left").drop("_value")
+    state = gathered(state, "mix-cells")
     for _ in range(0, ROUNDS, STEP):
-        state = staged(state.withColumn("before", F.col("weight")), "mix-cells")
+        state = state.withColumn("before", F.col("weight"))
         for _ in range(STEP):
             for by in margins:
                 now = F.sum("weight").over(Window.partitionBy(by))
@@ -96,7 +97,7 @@ def rake(cells: DataFrame, margins: dict[str, DataFrame], max_ratio: float = MAX
                     "weight", F.when(now > 0, F.col("weight") * F.col(f"share_{by}") / now).otherwise(0.0)
                 )
             state = state.withColumn("weight", F.least("weight", max_ratio * natural))
-        state = staged(state, "mix-cells")
+        state = gathered(state, "mix-cells")
         change = state.where("before > 0").agg(F.max(F.abs(F.col("weight") / F.col("before") - 1))).first()[0]
         if (change or 0.0) <= CLOSE:
             break
@@ -137,7 +138,7 @@ def mix(
         word_count(F.col(text_col)).alias("tokens"),
         drawn.alias("drawn"),
     )
-    cells = staged(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "mix-sums")
+    cells = gathered(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "mix-sums")
     counted = cells.where("tokens > 0")
     raked = rake(
         counted,
