@@ -43,8 +43,3 @@ def share_text(part: Column, whole: Column) -> Column:
         grouped(part), F.lit("/"), grouped(whole),
         F.lit(" ("), percent_text(percent(part, whole)), F.lit(")"),
     )
-
-
-def count_share_text(part: Column, whole: Column) -> Column:
-    """``1,234 (21.7%)``"""
-    return F.concat(grouped(part), F.lit(" ("), percent_text(percent(part, whole)), F.lit(")"))

@@ -35,10 +35,6 @@ def share_of_total(
     return counts.withColumn(pct, F.col(count).cast("double") / total.cast("double") * 100)
 
 
-def date_span(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
-
-
 def most_common(counts: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
     """The most frequent value per key from (key, value, count) rows; ties: the lowest."""
     best = F.min_by(F.col(value), F.struct(-F.col(count), F.col(value)))

@@ -900,3 +900,26 @@ SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, 1 AS tries FROM o
 ORACLE["default_window"] = f"""
 SELECT o_orderkey, strftime(o_orderdate, {_DAY}) AS day FROM orders
 WHERE CAST(o_orderdate AS DATE) >= (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 1"""
+
+ORACLE["file_sales"] = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS property_id, strftime(o_orderdate, {_DAY}) AS sale_date,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS sale_price, o_orderpriority AS buyer, o_orderstatus AS seller
+FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC,
+  CAST(o_totalprice AS DECIMAL(18,2)) DESC, o_orderpriority DESC, o_orderstatus DESC) = 1"""
+
+ORACLE["file_mapping"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS property_id, CAST(c_custkey AS VARCHAR) AS tax_assessor_id,
+  c_name || ' ' || (10000 + c_custkey % 500) AS derived_property_id
+FROM customer WHERE c_acctbal > 0"""
+
+ORACLE["file_audit"] = """
+WITH loads(name, before_count, after_count) AS (
+  SELECT 'sales', 0, count(DISTINCT o_custkey) FILTER (WHERE o_orderdate < TIMESTAMP '1998-06-01') FROM orders
+  UNION ALL
+  SELECT 'sales', count(DISTINCT o_custkey) FILTER (WHERE o_orderdate < TIMESTAMP '1998-06-01'),
+    count(DISTINCT o_custkey) FROM orders
+  UNION ALL
+  SELECT 'mapping', 0, count(*) FROM customer WHERE c_acctbal > 0)
+SELECT name AS table_name, 'raw' AS schema_name, '2025-01-01' AS insert_date, before_count, after_count,
+  after_count - before_count AS new_rows FROM loads"""

@@ -16,7 +16,7 @@ from deedmill.functions import calendar, parties as names, truth
 from deedmill.functions.deals import classify_transaction
 from deedmill.operators import aggregates, dedupe, history, joins, keys, upsert
 from deedmill.operators.nested import explode_children
-from deedmill.plans import audit, backfill, enrich, extract, model, quality, rollups
+from deedmill.plans import audit, backfill, enrich, extract, file_loads, model, quality, rollups
 from deedmill.plans.transform import bridges_job, read_model, transform_job
 from deedmill.plans.validate import validate_job
 from deedmill import schemas
@@ -859,6 +859,46 @@ def job_backfill(spark, sf_dir):
     return landed.join(tries, F.col("batch") == F.col("month")).select("month", "n", "tries")
 
 
+def _file_loads(spark, sf_dir):
+    """Sales in two files, the second with the newer ones, and a mapping file, written, parsed and loaded."""
+    base = scratch_path(spark, "files")
+    place = file_loads.Place(f"{base}/tables", f"{base}/audit")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("property_id"),
+        F.lit(None).cast("string").alias("property_name"),
+        F.lit(None).cast("string").alias("zip"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("sale_date"),
+        F.concat(F.lit("$"), F.format_number(F.col("o_totalprice").cast("decimal(18,2)"), 2)).alias("sale_price"),
+        F.col("o_orderpriority").alias("buyer"),
+        F.col("o_orderstatus").alias("seller"),
+    )
+    for name, wanted in (("older", F.col("sale_date") < "1998-06-01"), ("newer", F.col("sale_date") >= "1998-06-01")):
+        orders.where(wanted).write.option("header", True).csv(f"{base}/{name}")
+        file_loads.load_sales_job(spark, f"{base}/{name}", place, F.lit("2025-01-01").cast("date"))
+    links = ad.mapping(spark, sf_dir).withColumns({"property_name": F.lit("x"), "insert_date": F.lit("2025-01-01")})
+    links.select(*schemas.MAPPING_FILE.fieldNames()).write.option("header", True).csv(f"{base}/links")
+    file_loads.load_mapping_job(spark, f"{base}/links", place, F.lit("2025-01-01").cast("date"))
+    return place
+
+
+@query
+def file_sales(spark, sf_dir):
+    place = _file_loads(spark, sf_dir)
+    return read_snapshot(spark, f"{place.base}/sales").select("property_id", "sale_date", "sale_price", "buyer", "seller")
+
+
+@query
+def file_mapping(spark, sf_dir):
+    place = _file_loads(spark, sf_dir)
+    return read_snapshot(spark, f"{place.base}/mapping").select("property_id", "tax_assessor_id", "derived_property_id")
+
+
+@query
+def file_audit(spark, sf_dir):
+    """One row per load."""
+    return spark.read.parquet(_file_loads(spark, sf_dir).audit)
+
+
 @query
 def default_window(spark, sf_dir):
     """The orders of yesterday and today, today being the last day there is one."""
