@@ -15,8 +15,10 @@
    (prefix filter), and its places bound the intersection (positional filter).
    Such groups of classes are *settled* by steps: some members meet the whole
    group, what is linked is merged, then eight times as many, until all had their
-   turn; members of the group's main component need none. So no pair that shares a
-   band is skipped unless its ends are linked already.
+   turn; members of the group's main component need none as long as it is that.
+   Merges can make another component the main one: who was passed over for being in
+   it is called late. So no pair that shares a band is skipped unless its ends are
+   linked already.
 """
 
 from __future__ import annotations
@@ -200,12 +202,11 @@ class _Known:
 
 
 def _open_groups(placed: DataFrame) -> DataFrame:
-    """Groups (``key``) of several components, with their size and the component of most members."""
+    """Groups (``key``) of several components, with their size and the component of most members (of several the last)."""
     cells = placed.groupBy("key", "component").agg(F.count("*").alias("n_in"))
+    main = F.max_by("component", F.struct("n_in", "component")).alias("main")
     return (
-        cells.groupBy("key")
-        .agg(F.sum("n_in").alias("size"), F.count("*").alias("parts"), F.max_by("component", "n_in").alias("main"))
-        .where("parts > 1")
+        cells.groupBy("key").agg(F.sum("n_in").alias("size"), F.count("*").alias("parts"), main).where("parts > 1")
     )
 
 
@@ -214,18 +215,22 @@ def _settle(groups: DataFrame, known: _Known) -> None:
 
     ``place`` is that of the group's shingle in the order of the set's shingles (0
     if the group has none): nothing before it is common with the first such group.
+    The end is when all members outside of the main components that now are have
+    been called: of two ends apart one is outside, and at its call it met the other.
     """
     step = 0
+    groups = groups.withColumn("was_called", F.lit(False))
     while True:
         placed = known.placed(groups)
         rank = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 40)) / float(1 << 40) * F.col("size")
         turn = F.floor(F.log(1 + (GROWTH - 1) * rank / FIRST_STEP) / math.log(GROWTH)).cast("int")
         waiting = placed.join(_open_groups(placed), "key").withColumn("turn", turn)
         waiting = gathered(waiting, "minhash-open")
-        aside = F.col("component") != F.col("main")
-        if waiting.where(aside & (F.col("turn") >= step)).isEmpty():
+        due = (F.col("component") != F.col("main")) & ~F.col("was_called")
+        if waiting.where(due).isEmpty():
             return
-        called = waiting.where(aside & (F.col("turn") == step)).select(
+        now = due & (F.col("turn") <= step)
+        called = waiting.where(now).select(
             "key",
             F.col("node").alias("x"),
             F.col("n").alias("x_n"),
@@ -239,6 +244,8 @@ def _settle(groups: DataFrame, known: _Known) -> None:
             called, (waiting["key"] == called["key"]) & apart & can
         )
         known.learn(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct())
+        # groups that are one component by now stay so
+        groups = waiting.select("key", "node", "n", "place", (F.col("was_called") | now).alias("was_called"))
         step += 1
 
 
