@@ -33,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that their tokens have the target shares."""
+    """Documents drawn towards the target shares, each once: short of them where the draw has several copies of one."""
     mixed = mixing.mix(docs, keep_cols=docs.columns, lang_shares=LANG_SHARES)
     return mixed.where("sampled").select(*docs.columns)
 

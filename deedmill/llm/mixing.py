@@ -3,14 +3,16 @@
 Documents are summed to cells (source, language, topic), one row for each
 combination that occurs. The cells' token weights are raked: scaled in turn so
 that the sums per source, per language and per topic meet their targets, until all
-three hold. A document then is sampled with a probability in proportion to weight
-over tokens of its cell, so that the expected tokens of the sample have the raked
-proportions. Whether a document is drawn depends on its id and text alone.
+three hold. A document then is drawn in proportion to weight over tokens of its
+cell, so that the expected tokens of the draw have the raked proportions. Where that
+would leave too few of the tokens, documents of the most wanted cells are drawn
+several times instead. How often a document is drawn depends on its id and text alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,7 +22,9 @@ from deedmill.llm.graph import gathered
 ROUNDS, STEP = 60, 4
 #: Relative change of every weight over a step that counts as settled.
 CLOSE = 1e-6
-#: Weight of a token in a cell over that of a token on average, at most: tiny cells cannot press all others down.
+#: Part of a target by which a value may miss it and counts as met.
+MET = 1e-3
+#: All tokens over those drawn at least once, at most: tiny cells are repeated and cannot press all others down.
 MAX_RATIO = 2.5
 #: Cells that are sent to every task; more are joined by a shuffle.
 BROADCAST_CELLS = 100_000
@@ -72,14 +76,14 @@ def margin(cells: DataFrame, by: str, *, power: float = 1.0, fixed: Mapping[str,
     return sums.select("value", (share / (whole or 1.0)).alias("share"))
 
 
-def rake(cells: DataFrame, margins: dict[str, DataFrame], max_ratio: float = MAX_RATIO) -> DataFrame:
+def rake(cells: DataFrame, margins: dict[str, DataFrame], max_ratio: float | None = None) -> DataFrame:
     """``cells`` (columns of ``margins`` and ``tokens``) with ``weight``, which sums to about 1.
 
-    Cells without tokens keep weight 0. The weight of a cell is held to
-    ``max_ratio`` times its share of all tokens; what it lacks goes to others of
-    the same value where they have room. Margins that contradict each other,
-    which empty combinations and that bound can cause, end after ``ROUNDS``
-    rounds in the last state.
+    Cells without tokens keep weight 0. With ``max_ratio`` the weight of a cell is
+    held to so many times its share of all tokens; what it lacks goes to others of
+    the same value where they have room. Margins that contradict each other, which
+    empty combinations and that bound can cause, end after ``ROUNDS`` rounds in the
+    last state.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     natural = F.col("tokens") / F.lit(float(total))
@@ -96,7 +100,8 @@ def rake(cells: DataFrame, margins: dict[str, DataFrame], max_ratio: float = MAX
                 state = state.withColumn(
                     "weight", F.when(now > 0, F.col("weight") * F.col(f"share_{by}") / now).otherwise(0.0)
                 )
-            state = state.withColumn("weight", F.least("weight", max_ratio * natural))
+            if max_ratio is not None:
+                state = state.withColumn("weight", F.least("weight", max_ratio * natural))
         state = gathered(state, "mix-cells")
         change = state.where("before > 0").agg(F.max(F.abs(F.col("weight") / F.col("before") - 1))).first()[0]
         if (change or 0.0) <= CLOSE:
@@ -104,6 +109,62 @@ def rake(cells: DataFrame, margins: dict[str, DataFrame], max_ratio: float = MAX
     return state.drop("before", *[f"share_{by}" for by in margins])
 
 
+def targets(
+    cells: DataFrame,
+    *,
+    source_power: float = 0.7,
+    lang_power: float = 0.7,
+    topic_power: float = 0.7,
+    lang_shares: Mapping[str, float] | None = None,
+) -> dict[str, DataFrame]:
+    return {
+        "source": margin(cells, "source", power=source_power),
+        "lang": margin(cells, "lang", power=lang_power, fixed=lang_shares),
+        "topic": margin(cells, "topic", power=topic_power),
+    }
+
+
+def reached(cells: DataFrame, margins: dict[str, DataFrame]) -> DataFrame:
+    """``margin``, ``value``, ``natural``, ``target`` and ``reached`` share per value of raked ``cells``."""
+    tokens, weight = cells.agg(F.sum("tokens"), F.sum("weight")).first()
+    found = []
+    for by, shares in margins.items():
+        sums = cells.groupBy(F.col(by).alias("_value")).agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight"))
+        found.append(
+            sums.join(shares, F.equal_null("value", "_value")).select(
+                F.lit(by).alias("margin"),
+                "value",
+                (F.col("tokens") / F.lit(float(tokens or 1))).alias("natural"),
+                F.col("share").alias("target"),
+                (F.col("weight") / F.lit(weight or 1.0)).alias("reached"),
+            )
+        )
+    return reduce(DataFrame.union, found)
+
+
+def draws_per_weight(cells: DataFrame) -> float:
+    """Tokens to draw for weight 1, those of repeated documents included.
+
+    As many as no cell has to be repeated for, if these are 1 / ``MAX_RATIO`` of
+    all tokens or more. Else as many that, with cells repeated where all of their
+    tokens are drawn, 1 / ``MAX_RATIO`` of all tokens are drawn at least once.
+    """
+    top, weights, tokens = cells.agg(F.max(F.col("weight") / F.col("tokens")), F.sum("weight"), F.sum("tokens")).first()
+    if not tokens or not top:
+        return 1.0
+    if weights / top >= tokens / MAX_RATIO:
+        return 1.0 / top
+    # tokens drawn at least once are concave in the draws: Newton's steps from below meet the goal in some few rounds
+    draws = tokens / MAX_RATIO / weights
+    for _ in range(ROUNDS):
+        all_drawn = F.col("weight") * F.lit(draws) >= F.col("tokens")
+        full, free = cells.agg(F.sum(F.when(all_drawn, F.col("tokens"))), F.sum(F.when(~all_drawn, F.col("weight")))).first()
+        before, draws = draws, (tokens / MAX_RATIO - (full or 0)) / free if free else draws
+        if draws <= before * (1 + 1e-12):
+            break
+    return draws
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -119,14 +180,19 @@ def mix(
     seed: int = 0,
     broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``keep_cols``, ``topic``, ``n_tokens``, ``cell_weight``, ``probability`` and ``sampled``.
+    """One row per row of ``docs``: ``keep_cols``, ``topic``, ``n_tokens``, ``cell_weight``, ``probability``, ``sampled``, ``expected`` and ``copies``.
 
     Tokens are words. Null sources and languages are values of their own; null,
     empty and blank texts have topic ``empty``, no tokens and probability 0. Rows equal
-    in id and text share their fate; a null id counts as a value. The cell with
-    the largest ratio of weight to tokens gets probability 1, the others in
-    proportion, so that about 1 / ``MAX_RATIO`` of all tokens or more is expected. ``keep_cols`` (default: the id) may be any columns of
-    ``docs``; others are not read.
+    in id and text share their fate; a null id counts as a value. A row is drawn
+    ``copies`` times, ``expected`` on average (a whole number or the next), and
+    tokens times copies have the target shares. Where cells held to ``MAX_RATIO``
+    times their natural share meet every target, no row has two. The cell with the largest ratio of
+    weight to tokens is expected once and the others in proportion, unless that
+    leaves less than 1 / ``MAX_RATIO`` of all tokens; then as many are drawn at
+    least once and rows of cells wanted most have several copies. ``probability``
+    is that of one copy or more, which is ``sampled``. ``keep_cols`` (default: the
+    id) may be any columns of ``docs``; others are not read.
     """
     keep = keep_cols or [id_col]
     drawn = F.pmod(F.xxhash64(id_col, text_col, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
@@ -140,25 +206,20 @@ def mix(
     )
     cells = gathered(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "mix-sums")
     counted = cells.where("tokens > 0")
-    raked = rake(
-        counted,
-        {
-            "source": margin(counted, "source", power=source_power),
-            "lang": margin(counted, "lang", power=lang_power, fixed=lang_shares),
-            "topic": margin(counted, "topic", power=topic_power),
-        },
+    margins = targets(
+        counted, source_power=source_power, lang_power=lang_power, topic_power=topic_power, lang_shares=lang_shares
     )
-    top, weights, tokens = raked.agg(
-        F.max(F.col("weight") / F.col("tokens")), F.sum("weight"), F.sum("tokens")
-    ).first()
-    # capped weights add up to less than 1: the bound is one over the average of what is there
-    top = min(top, MAX_RATIO * weights / tokens) if tokens else 1.0
+    # no copies where single rows can meet every target
+    raked = rake(counted, margins, MAX_RATIO)
+    if not reached(raked, margins).where(F.abs(F.col("reached") - F.col("target")) > MET * F.col("target")).isEmpty():
+        raked = rake(counted, margins)
+    draws = draws_per_weight(raked)
     named = raked.select(
         F.col("source").alias("_s"),
         F.col("lang").alias("_l"),
         F.col("topic").alias("_t"),
         "weight",
-        F.least(F.lit(1.0), F.round(F.col("weight") / F.col("tokens") / F.lit(top), 12)).alias("p"),
+        F.round(F.col("weight") / F.col("tokens") * F.lit(draws), 12).alias("times"),
     )
     same = F.equal_null("source", "_s") & F.equal_null("lang", "_l") & (F.col("topic") == F.col("_t"))
     if named.count() <= broadcast_cells:
@@ -166,12 +227,15 @@ def mix(
     else:
         named = named.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
         same = same & (F.floor(F.col("drawn") * SPREAD).cast("int") == F.col("_k"))
-    p = F.coalesce("p", F.lit(0.0))
+    times = F.coalesce("times", F.lit(0.0))
+    copies = F.floor(times) + (F.col("drawn") < times - F.floor(times)).cast("long")
     return rows.join(named, same, "left").select(
         *[F.col(f"keep_{c}").alias(c) for c in keep],
         "topic",
         F.col("tokens").alias("n_tokens"),
         F.round(F.coalesce("weight", F.lit(0.0)), 12).alias("cell_weight"),
-        p.alias("probability"),
-        (F.col("drawn") < p).alias("sampled"),
+        F.least(F.lit(1.0), times).alias("probability"),
+        (F.col("drawn") < times).alias("sampled"),
+        times.alias("expected"),
+        copies.alias("copies"),
     )
