@@ -26,3 +26,22 @@ fits AS (
 SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM cut c LEFT JOIN fits f ON f.row_id = c.row_id AND f.place = 1
 """
+
+ORACLE["op11_line_dedup"] = r"""
+WITH numbered AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT row_id, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM numbered),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines,
+       count(*) FILTER (r.keeper IS DISTINCT FROM k.doc_id AND r.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos)
+                       FILTER (r.key IS NULL OR r.keeper IS NOT DISTINCT FROM k.doc_id), '')) AS kept_sha256
+FROM keyed k LEFT JOIN repeated r ON r.key = k.key
+GROUP BY k.row_id
+"""

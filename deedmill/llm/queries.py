@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, minhash, mixing, pii, quality, sharding, token_counts, token_files, urls, vector_dedup
+from deedmill.llm import bpe, line_dedup, minhash, mixing, pii, quality, sharding, token_counts, token_files, urls, vector_dedup
 from deedmill.llm.tokenizers import default_path
 from deedmill.session import scratch_path
 
@@ -102,3 +102,9 @@ LANG_SHARES = {"en": 0.5, "de": 0.15, "es": 0.15, "fr": 0.15}
 def op10_source_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return mixing.mix(docs, keep_cols=["doc_id", "source", "lang"], lang_shares=LANG_SHARES)
+
+
+@query
+def op11_line_dedup(spark, sf_dir):
+    found = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

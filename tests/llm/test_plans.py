@@ -10,7 +10,7 @@ def plan(spark, name):
     return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["op7_sharding", "op9_quality_rules", "op10_source_mixing"])
+@pytest.mark.parametrize("name", ["op7_sharding", "op9_quality_rules", "op10_source_mixing", "op11_line_dedup"])
 def test_native_operators_run_no_python(spark, name):
     text = plan(spark, name)
     assert not any(word in text for word in ("Python", "Pandas", "Arrow", "ExternalRDD"))
