@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedmill.llm import bpe, line_dedup, minhash, mixing, pii, quality, sharding, token_counts, token_files, urls, vector_dedup
+from deedmill.llm import alignment, bpe, line_dedup, minhash, mixing, pii, quality, sharding, spelling, token_counts, token_files, urls, vector_dedup
 from deedmill.llm.tokenizers import default_path
 from deedmill.session import scratch_path
 
@@ -108,3 +108,15 @@ def op10_source_mixing(spark, sf_dir):
 def op11_line_dedup(spark, sf_dir):
     found = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    # 31: of the runs of letters about one in as many is misspelt on purpose
+    return spelling.spelling_forms(_table(spark, sf_dir, "documents"), noise=31)
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    paths = default_path("byte_bpe_50k.json"), default_path("piece_bpe_32k.model")
+    return alignment.align_tokenizers(_table(spark, sf_dir, "documents"), *paths)

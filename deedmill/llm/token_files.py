@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from deedmill.llm.bpe import _gather
 from deedmill.llm.token_counts import REMEMBERED, chunks
-from deedmill.llm.tokenizers import load_units
+from deedmill.llm.tokenizers import Units, load_units
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 1 << 20
@@ -33,8 +33,8 @@ FILE_BYTES = 64 << 20
 class TextEncoder:
     """Ids of whole texts; remembers a bounded number of pre-tokens."""
 
-    def __init__(self, path: str):
-        self.units = load_units(path)
+    def __init__(self, path: str, units: Units | None = None):
+        self.units = units or load_units(path)
         self._forget()
 
     def _forget(self) -> None:
