@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from deedmill.llm.graph import components, gathered
 from deedmill.session import staged
@@ -96,12 +96,26 @@ def band_hashes(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return state.view(np.int64)
 
 
+#: A row is told apart by id and text, in 128 bits.
+ROW_KEYS = ["row_key", "row_key_2"]
+
+
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def row_keys(id_: Column, hash_1: Column, hash_2: Column) -> list[Column]:
+    """``ROW_KEYS`` of an id and the two hashes of a text."""
+    return [F.xxhash64(id_, hash_1).alias("row_key"), F.xxhash64(F.lit(1), id_, hash_2).alias("row_key_2")]
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """``id``, ``text_hash``, ``n_shingles``, ``set_key`` and ``b0``, ``b1``, … per row; without words the last are null."""
+    """``id``, ``text_hash``, ``text_hash_2``, ``n_shingles``, ``set_key`` and ``b0``, ``b1``, … per row; without words the last are null."""
     schema = T.StructType(
         [
             T.StructField("id", docs.schema[id_col].dataType),
             T.StructField("text_hash", T.LongType()),
+            T.StructField("text_hash_2", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_key", T.StringType()),
             *[T.StructField(f"b{k}", T.LongType()) for k in range(bands)],
@@ -122,6 +136,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: i
                 [
                     batch.column("id"),
                     batch.column("text_hash"),
+                    batch.column("text_hash_2"),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.string()),
                     *[pa.array(np.ascontiguousarray(found[:, k]), mask=none) for k in range(bands)],
@@ -129,17 +144,18 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: i
                 schema.names,
             )
 
-    return docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
-    ).mapInArrow(run, schema)
+    hashes = [h.alias(c) for h, c in zip(text_hashes(F.col(text_col)), ("text_hash", "text_hash_2"))]
+    return docs.select(F.col(id_col).alias("id"), *hashes, F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """``node`` and ``shingles`` (sorted 64-bit hashes) of wanted classes (``node``, ``rep_id``, ``rep_hash``)."""
-    texts = docs.select(F.xxhash64(id_col, F.xxhash64(text_col)).alias("row_key"), F.col(text_col).alias("text"))
-    keys = wanted.select("node", F.xxhash64("rep_id", "rep_hash").alias("row_key"))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = keyed.select(*row_keys(F.col("id"), *text_hashes(F.col("text"))), "text")
+    rep = (F.col("rep_id"), F.col("rep_hash.text_hash"), F.col("rep_hash.text_hash_2"))
+    keys = wanted.select("node", *row_keys(*rep))
     # one row per class, also where the row of its representative is repeated; sorted for the join already
-    found = texts.join(keys, "row_key").dropDuplicates(["row_key"])
+    found = texts.join(keys, ROW_KEYS).dropDuplicates(ROW_KEYS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,7 +314,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``, ``component`` and ``row_key``.
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``, ``component``, ``row_key`` and ``row_key_2``.
 
     Documents are linked if 100 times the intersection of their shingle sets is
     at least ``per_hundred`` times the union; a component is what links reach, and
@@ -307,15 +323,16 @@ def near_duplicates(
     Null ids take part; they are never the least unless all ids of a component
     are null, and ``kept`` compares null-safely. Repeated rows keep a row each
     and are judged alike. ``component`` numbers components of texts with words,
-    ``row_key`` is a hash of id and text. Other columns are not read.
+    ``row_key`` and ``row_key_2`` are a hash of id and text. Other columns are not read.
     """
+    text_hash = F.struct("text_hash", "text_hash_2")
     sig = staged(signatures(docs, id_col, text_col, words, bands, rows), "minhash-signatures")
     classes = (
         sig.where("set_key is not null")
         .groupBy("set_key")
         .agg(
             F.min("id").alias("rep_id"),
-            F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("rep_hash"),
+            F.coalesce(F.min_by(text_hash, "id"), F.min(text_hash)).alias("rep_hash"),
             F.max("n_shingles").alias("n"),
             *[F.max(f"b{k}").alias(f"b{k}") for k in range(bands)],
         )
@@ -366,17 +383,17 @@ def near_duplicates(
     least = placed.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     named = placed.join(least, "component").select("set_key", "component_id", "component")
     return (
-        sig.select("id", "text_hash", "n_shingles", "set_key")
+        sig.select("id", "text_hash", "text_hash_2", "n_shingles", "set_key")
         .join(named, "set_key", "left")
         .select(
             F.col("id").alias(id_col),
             "n_shingles",
             F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
             "component",
-            F.xxhash64("id", "text_hash").alias("row_key"),
+            *row_keys(F.col("id"), F.col("text_hash"), F.col("text_hash_2")),
         )
         .withColumn("kept", F.equal_null(id_col, "component_id"))
-        .select(id_col, "n_shingles", "component_id", "kept", "component", "row_key")
+        .select(id_col, "n_shingles", "component_id", "kept", "component", *ROW_KEYS)
     )
 
 
@@ -387,15 +404,13 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     one. Texts without words stay, repeated rows of them once. ``options`` are
     those of ``near_duplicates``.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("kept")
+    rows = docs.select(F.struct(F.col("*")).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = near_duplicates(rows, id_col="id", text_col="text", **options).where("kept")
+    key = F.struct(*ROW_KEYS)
     alone = F.col("component").isNull()
-    keepers = (
-        found.groupBy(F.coalesce("component", "row_key"), alone)
-        .agg(F.min("row_key").alias("_keeper"))
-        .select("_keeper")
-        .distinct()
-    )
-    row_key = F.xxhash64(id_col, F.xxhash64(text_col))
-    rows = docs.withColumn("_row_key", row_key).join(keepers, F.col("_row_key") == F.col("_keeper"), "left_semi")
-    place = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
-    return rows.withColumn("_place", place).where("_place = 1").select(*docs.columns)
+    of_its_own = F.when(alone, key)
+    keepers = found.groupBy("component", of_its_own).agg(F.min(key).alias("keeper")).select("keeper.*").distinct()
+    keyed = rows.select("row", *row_keys(F.col("id"), *text_hashes(F.col("text"))))
+    place = F.row_number().over(Window.partitionBy(*ROW_KEYS).orderBy("row_key"))
+    kept = keyed.join(keepers, ROW_KEYS, "left_semi").withColumn("place", place).where("place = 1")
+    return kept.select("row.*")

@@ -114,6 +114,33 @@ def test_disclosing_terms(spark):
         assert clean[34]["text"] == "nobody at  today" and clean[36]["text"] == "" and clean[10]["text"] == texts[10]
 
 
+def test_a_name_in_a_fixed_signature(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(400)]
+    sign = "\nKind regards from\nMarigold Fennimore, m.fennimore@example.org"
+    body = lambda: " ".join(rng.choices(words, k=60))
+    texts = [body() + sign for _ in range(200)] + [body() + " kind regards from us all" for _ in range(300)]
+    # a text that is copied, and copies of it with a word changed here and there, are a few witnesses at most
+    copied = body().split()
+    texts += [" ".join(copied) + " Copperfield, copy@example.net"] * 300
+    rows = [{"doc_id": k, "text": t, "lang": None, "source": None, "n_chars": None} for k, t in enumerate(texts)]
+    found = {r["term"]: r["kind"] for r in pii.disclosing_terms(documents(spark, rows)).collect()}
+    assert set(found) == {"marigold", "fennimore"}
+    spans = {r["doc_id"]: r["n_terms"] for r in pii.find_pii(documents(spark, rows)).collect()}
+    assert all((n == 2) == (k < 200) for k, n in spans.items())
+
+
+def test_witnesses_are_documents():
+    body = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    sign = " Fennimore f@example.org"
+    one = {w for _, w, _ in pii._mentions(" ".join(body) + sign)}
+    assert one == {w for _, w, _ in pii._mentions(" ".join(body[:]) + sign)} and len(one) == 1
+    near = [body[:k] + ["changed"] + body[k + 1 :] for k in range(0, 180, 3)]
+    others = [{w for _, w, _ in pii._mentions(" ".join(b) + sign)} for b in near]
+    assert sum(o == one for o in others) >= len(near) - 3
+    assert {w for _, w, _ in pii._mentions(" ".join(reversed(body)) + sign)} != one
+
+
 def test_odd_rows(spark):
     rows = odd_documents()
     found = pii.find_pii(with_clashes(documents(spark, rows)))
