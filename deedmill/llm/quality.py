@@ -23,26 +23,30 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """A metric (whole number) and the tolerance beyond which it is an outlier.
+    """A metric (whole number), the quantile that ends its usual range, and how far beyond that is too far.
 
-    Rejected is a value above ``q75 + spread * (q75 - q25) + slack`` of its group
-    and, if ``both``, one below ``q25 - spread * (q75 - q25) - slack``.
+    With m the median of a group and q its quantile ``at`` (per thousand), the
+    reach is ``(q - m) * (100 + beyond) / 100 + slack``; rejected is a value above
+    m plus the reach and, if ``both``, one as far below by the opposite quantile.
     """
 
     metric: str
-    slack: int
-    spread: int = 6
+    at: int
+    beyond: int
+    slack: int = 25
     both: bool = False
 
 
 #: Metrics are per thousand, word length in hundredths of a character.
 RULES = (
-    Rule("symbols_per_word", 100),
-    Rule("duplicate_lines", 400),
-    Rule("repeated_words", 400),
-    Rule("word_length", 60, both=True),
+    Rule("symbols_per_word", at=900, beyond=100),
+    Rule("duplicate_lines", at=990, beyond=25),
+    Rule("repeated_words", at=990, beyond=100),
+    Rule("word_length", at=900, beyond=400, both=True),
 )
-#: Documents that a group needs for thresholds of its own; below, those of its language count, then those of all.
+#: A group's reach is at most so many times that of its language, and a language's of that of all documents.
+WIDER = 2
+#: Documents past the base rules that a group needs for thresholds of its own; below, those of its language count, then those of all.
 MIN_DOCS = 100
 #: Groups whose thresholds are sent to every task; more are joined by a shuffle.
 BROADCAST_GROUPS = 100_000
@@ -187,53 +191,82 @@ def merge_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
     return sketches.groupBy(*by, "metric", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """``total``, ``q25`` and ``q75`` per group and metric: least values of the buckets that hold them."""
+def quantiles(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """Per group and metric ``total`` documents, the median ``mid``, and how far the rule lets a value be ``above`` and ``below`` it.
+
+    Quantiles are the least values of the buckets that hold them.
+    """
     group = Window.partitionBy(*by, "metric")
     upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sketches.withColumns({"total": F.sum("n").over(group), "upto": F.sum("n").over(upto)})
     low = bucket_low(F.col("bucket"))
-    return ranked.groupBy(*by, "metric").agg(
+
+    def pick(of) -> Column:
+        """A number that depends on the rule of the row's metric."""
+        return F.coalesce(*[F.when(F.col("metric") == r.metric, F.lit(of(r))) for r in RULES])
+
+    at = lambda rank: F.min(F.when(1000 * F.col("upto") >= rank * F.col("total"), low))
+    found = ranked.groupBy(*by, "metric").agg(
         F.max("total").alias("total"),
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), low)).alias("q25"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), low)).alias("q75"),
+        at(F.lit(500)).alias("mid"),
+        at(pick(lambda r: r.at)).alias("upper"),
+        at(pick(lambda r: 1000 - r.at)).alias("lower"),
+    )
+    reach = lambda far: F.floor(far * (100 + pick(lambda r: r.beyond)) / 100) + pick(lambda r: r.slack)
+    return found.select(
+        *by, "metric", "total", "mid",
+        reach(F.col("upper") - F.col("mid")).alias("above"), reach(F.col("mid") - F.col("lower")).alias("below"),
     )
 
 
 def thresholds(stats: DataFrame, *, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``low_<metric>`` and ``high_<metric>`` per language and source.
-
-    Groups of fewer than ``MIN_DOCS`` documents take the quartiles of their
-    language, and those of all documents where the language has too few as well.
-    A null language or source is a group like any other.
+    """``low_<metric>`` and ``high_<metric>`` per language and source, for every one that ``stats`` has.
+
+    Sketches hold the documents that pass the base rules, so what is plainly
+    junk does not move the cutoffs; a group in which much of the rest is junk is held to
+    ``WIDER`` times the reach of its language, and that to as much of all
+    documents'. Groups of fewer than ``MIN_DOCS`` such documents take the
+    thresholds of their language, and those of all where the language has too
+    few as well; without any document past the base rules nothing is cut off. A
+    null language or source is a group like any other. ``stats`` wants to be a
+    stored table: it is read several times, each time in part.
     """
     by = [lang_col, source_col]
-    fine = staged(sketch(stats, by), "quality-sketch")
-    own = quartiles(fine, by)
-    wide = quartiles(merge_sketches(fine, [lang_col]), [lang_col]).select(
-        F.col(lang_col).alias("_wide_lang"), F.col("metric").alias("_metric"), *[F.col(c).alias(f"lang_{c}") for c in ("total", "q25", "q75")]
-    )
-    every = quartiles(merge_sketches(fine, []), []).select(
-        F.col("metric").alias("_m"), F.col("q25").alias("all_q25"), F.col("q75").alias("all_q75")
-    )
-    joined = own.join(wide, F.equal_null(lang_col, "_wide_lang") & (F.col("metric") == F.col("_metric")), "left")
-    joined = joined.join(every, F.col("metric") == F.col("_m"), "left")
-
-    def chosen(q: str) -> Column:
-        return (
-            F.when(F.col("total") >= MIN_DOCS, F.col(q))
-            .when(F.col("lang_total") >= MIN_DOCS, F.col(f"lang_{q}"))
-            .otherwise(F.col(f"all_{q}"))
+    groups = stats.select(*by).distinct()
+    fine = staged(sketch(stats.where(~base_failed()), by), "quality-sketch")
+
+    def named(df: DataFrame, level: str, keys: list[str]) -> DataFrame:
+        columns = [F.col(c).alias(f"{level}_{c}") for c in ("metric", "total", "mid", "above", "below")]
+        return staged(df.select(*[F.col(k).alias(f"_{level}_{k}") for k in keys], *columns), f"quality-{level}")
+
+    own = named(quantiles(fine, by), "own", by)
+    wide = named(quantiles(merge_sketches(fine, [lang_col]), [lang_col]), "lang", [lang_col])
+    every = named(quantiles(merge_sketches(fine, []), []), "all", [])
+    metric = F.explode(F.array(*[F.lit(r.metric) for r in RULES])).alias("metric")
+    joined = (
+        groups.select(*by, metric)
+        .join(every, F.col("metric") == F.col("all_metric"), "left")
+        .join(wide, F.equal_null(lang_col, f"_lang_{lang_col}") & (F.col("metric") == F.col("lang_metric")), "left")
+        .join(
+            own,
+            F.equal_null(lang_col, f"_own_{lang_col}") & F.equal_null(source_col, f"_own_{source_col}") & (F.col("metric") == F.col("own_metric")),
+            "left",
         )
+    )
+    lang_has, own_has = F.col("lang_total") >= MIN_DOCS, F.col("own_total") >= MIN_DOCS
+    mid = F.when(own_has, F.col("own_mid")).when(lang_has, F.col("lang_mid")).otherwise(F.col("all_mid"))
+
+    def reach(side: str) -> Column:
+        of_lang = F.when(lang_has, F.least(f"lang_{side}", WIDER * F.col(f"all_{side}"))).otherwise(F.col(f"all_{side}"))
+        return F.when(own_has, F.least(F.col(f"own_{side}"), WIDER * of_lang)).otherwise(of_lang)
 
-    cut = joined.select(*by, "metric", chosen("q25").alias("q25"), chosen("q75").alias("q75"))
+    cut = joined.select(*by, "metric", (mid + reach("above")).alias("high"), (mid - reach("below")).alias("low"))
     bounds = []
     for r in RULES:
-        reach = r.spread * (F.col("q75") - F.col("q25")) + r.slack
         mine = F.col("metric") == r.metric
-        bounds.append(F.max(F.when(mine, F.col("q75") + reach)).alias(f"high_{r.metric}"))
+        bounds.append(F.max(F.when(mine, F.col("high"))).alias(f"high_{r.metric}"))
         if r.both:
-            bounds.append(F.max(F.when(mine, F.col("q25") - reach)).alias(f"low_{r.metric}"))
+            bounds.append(F.max(F.when(mine, F.col("low"))).alias(f"low_{r.metric}"))
     return cut.groupBy(*by).agg(*bounds)
 
 
@@ -249,7 +282,7 @@ def judge(
     metric beyond the thresholds of their language and source. Null and empty
     texts have no words and so fail the base rules. Repeated rows are judged
     alike, each with a row of its own; columns other than those named are not
-    read. Thresholds come from all rows, the base-failed ones included.
+    read. Thresholds come from all rows that pass the base rules.
     """
     stats = text_stats(
         docs.select(

@@ -62,7 +62,7 @@ def with_places(df: DataFrame, keys: list[str], order: list, name: str) -> DataF
 
 
 def _propagate(members: DataFrame, loads: list[int], share: float, turn: int) -> DataFrame:
-    """One round over all documents (``uid``, ``text_key``, ``shard`` and more): new shards.
+    """One round over all documents (``uid``, ``name``, ``text_key``, ``shard`` and more): new shards.
 
     ``loads`` are the rows per shard.
     """
@@ -94,10 +94,10 @@ def _propagate(members: DataFrame, loads: list[int], share: float, turn: int) ->
             allowed = back + flows.get((t, s, True), 0) + room * n / into[t, False]
         here = (F.col("shard") == s) & (F.col("target") == t) & (large == g)
         part = F.when(here, F.lit(min(1.0, allowed / n))).otherwise(part)
-    chance = F.when(large, _unit("uid", F.lit(turn))).otherwise(_unit("text_key", "shard", F.lit(turn)))
+    chance = F.when(large, _unit("name", F.lit(turn))).otherwise(_unit("text_key", "shard", F.lit(turn)))
     goes = F.col("target").isNotNull() & (F.col("shard") != F.col("target")) & (chance < part)
     return members.join(split, F.col("text_key") == F.col("group"), "left").select(
-        "uid", "text_key", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")
+        "uid", "name", "text_key", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")
     )
 
 
@@ -117,7 +117,8 @@ def shard_documents(
     linked and share a shard where the law leaves room; a group larger than a
     shard fills several. Rows with null or repeated ids are rows like others.
     ``grown_shard`` is null under this law. An empty table gives an empty one.
-    Other columns are not read.
+    Other columns are not read. Ids and texts decide, not how the table lies in
+    files.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     facts = staged(
@@ -126,6 +127,8 @@ def shard_documents(
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.xxhash64(text).alias("text_key"),
+            # what a row does hangs on its name; its number tells equal rows apart, of which any may do it
+            F.xxhash64(F.col(id_col), text).alias("name"),
             F.monotonically_increasing_id().alias("uid"),
         ),
         "shard-facts",
@@ -133,7 +136,7 @@ def shard_documents(
     total = facts.count()
     share = total / shards
     state = staged(
-        facts.select("uid", "text_key", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int").alias("shard")),
+        facts.select("uid", "name", "text_key", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int").alias("shard")),
         "shard-labels",
     )
     for turn in range(rounds):
@@ -142,7 +145,7 @@ def shard_documents(
     company = state.groupBy("text_key", "shard").agg(F.count("*").alias("company"))
     placed = staged(
         with_places(
-            state.join(company, ["text_key", "shard"]), ["shard"], [F.desc("company"), F.asc("text_key"), F.asc("uid")], "shard-order"
+            state.join(company, ["text_key", "shard"]), ["shard"], [F.desc("company"), F.asc("text_key"), F.asc("name"), F.asc("uid")], "shard-order"
         ),
         "shard-places",
     )
@@ -154,7 +157,7 @@ def shard_documents(
 
     stays = placed.where(F.col("place") < of_shard(quota)).select("uid", "shard", F.col("place").alias("slot"))
     over = placed.where(F.col("place") >= of_shard(quota)).drop("place")
-    moved = with_places(over, [], [F.asc("shard"), F.desc("company"), F.asc("text_key"), F.asc("uid")], "shard-over")
+    moved = with_places(over, [], [F.asc("shard"), F.desc("company"), F.asc("text_key"), F.asc("name"), F.asc("uid")], "shard-over")
     shard, slot, taken = F.lit(None).cast("int"), F.lit(None).cast("long"), 0
     for k in range(shards):
         free = max(0, quota[k] - loads[k])

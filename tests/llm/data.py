@@ -10,7 +10,9 @@ import pyarrow.parquet as pq
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names operators use inside, to clash with them.
-CLASHES = ["id", "key", "block", "words", "n", "node", "shard", "tokens", "weight", "rule", "kept", "ids", "_text", "place"]
+CLASHES = [
+    "id", "key", "block", "words", "n", "node", "shard", "tokens", "weight", "rule", "kept", "ids", "_text", "place",
+    "_row_key", "_place", "n_words", "sampled", "topic", "row", "row_key", "component", "_terms", "copies"]
 
 
 def sample_documents():

@@ -1,5 +1,6 @@
 """Sharding, quality rules, source mixing and the pipeline."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -11,7 +12,8 @@ import corpus_pipeline
 from deedmill.llm import mixing, quality, sharding
 from deedmill.llm.queries import LANG_SHARES, QUERIES
 from deedmill.llm.tokenizers import default_path, load_units
-from tests.llm.data import SF, WORD, documents, least_reachable, odd_documents, rows_of, sample_documents, shingle_set, stored, with_clashes
+from deedmill.session import staged
+from tests.llm.data import CLASHES, SF, WORD, documents, least_reachable, odd_documents, rows_of, sample_documents, shingle_set, stored, with_clashes
 from tests.llm.test_pii import plain_spans
 
 # ---- sharding ----------------------------------------------------------------------
@@ -46,6 +48,26 @@ def test_groups_stay_together_and_a_giant_one_fills_shards(spark):
     assert len({shard[k] for k in range(400, 800)}) > 1
 
 
+def test_shards_do_not_depend_on_the_layout(spark):
+    docs = documents(spark)
+    columns = ("doc_id", "size", "text_crc32", "shard", "slot")
+    found = [rows_of(sharding.shard_documents(d), *columns) for d in (docs.coalesce(1), docs.repartition(7, "text"), docs.orderBy(F.desc("doc_id")))]
+    assert found[0] == found[1] == found[2]
+
+
+def test_fewer_equal_texts_are_apart_than_at_random(spark):
+    rows = [r for r in sample_documents()]
+    rows += [{**r, "doc_id": 10_000 + 3 * k + j} for k, r in enumerate(rows[:60]) for j in range(3)]
+    found = sharding.shard_documents(documents(spark, rows)).collect()
+    groups = defaultdict(Counter)
+    for r in found:
+        groups[r["text_crc32"], r["size"]][r["shard"]] += 1
+    pairs = lambda n: n * (n - 1) // 2
+    linked = sum(pairs(sum(g.values())) for g in groups.values())
+    cut = linked - sum(pairs(n) for g in groups.values() for n in g.values())
+    assert linked > 300 and cut < 0.2 * linked  # at random seven in eight
+
+
 @pytest.mark.parametrize("rows", [[], odd_documents()[:3], odd_documents()])
 def test_shards_of_odd_rows(spark, rows):
     check_law(rows, sharding.shard_documents(documents(spark, rows)).collect(), 8)
@@ -95,18 +117,31 @@ def plain_verdicts(rows):
         stats.append(s)
         for level in ((r["lang"], r["source"]), (r["lang"],), ()):
             for m, v in s["metrics"].items():
-                values[level, m].append(plain_bucket_low(v))
+                if not s["base_failed"]:
+                    values[level, m].append(plain_bucket_low(v))
+
+    def summary(level, rule):
+        v = sorted(values[level, rule.metric])
+        if not v:
+            return 0, None, None, None
+        rank = lambda per: v[-(-per * len(v) // 1000) - 1]
+        reach = lambda far: far * (100 + rule.beyond) // 100 + rule.slack
+        mid = rank(500)
+        return len(v), mid, reach(rank(rule.at) - mid), reach(mid - rank(1000 - rule.at))
+
     out = []
     for r, s in zip(rows, stats):
         kept = not s["base_failed"]
         for rule in quality.RULES:
-            levels = [(r["lang"], r["source"]), (r["lang"],), ()]
-            level = next((x for x in levels[:2] if len(values[x, rule.metric]) >= quality.MIN_DOCS), ())
-            v = sorted(values[level, rule.metric])
-            q25, q75 = v[(len(v) + 3) // 4 - 1], v[(3 * len(v) + 3) // 4 - 1]
-            reach = rule.spread * (q75 - q25) + rule.slack
-            kept &= s["metrics"][rule.metric] <= q75 + reach
-            kept &= not rule.both or s["metrics"][rule.metric] >= q25 - reach
+            if s["base_failed"]:
+                break
+            own, lang, every = summary((r["lang"], r["source"]), rule), summary((r["lang"],), rule), summary((), rule)
+            wide = every[2:] if lang[0] < quality.MIN_DOCS else [min(x, quality.WIDER * y) for x, y in zip(lang[2:], every[2:])]
+            mid = own[1] if own[0] >= quality.MIN_DOCS else lang[1] if lang[0] >= quality.MIN_DOCS else every[1]
+            if own[0] >= quality.MIN_DOCS:
+                wide = [min(x, quality.WIDER * y) for x, y in zip(own[2:], wide)]
+            kept &= s["metrics"][rule.metric] <= mid + wide[0]
+            kept &= not rule.both or s["metrics"][rule.metric] >= mid - wide[1]
         row = (r["doc_id"], *[s[c] for c in QUALITY[1:7]], kept)
         out.append(row)
     return out
@@ -133,6 +168,45 @@ def test_quality_on_odd_rows(spark, monkeypatch, least, limit):
     )
 
 
+def with_metrics(spark, rows):
+    stats = quality.text_stats(documents(spark, rows).select("lang", "source", "text"))
+    return staged(stats.withColumns(quality.metrics()), "stats")
+
+
+def test_cutoffs_follow_their_group_and_not_its_junk(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+
+    def text(extra, symbols):
+        return " ".join(rng.choices(words, k=120)) + " #" * rng.randint(0, symbols) + "".join(f"\n{w}" for w in extra)
+
+    rows = []
+    for source, n, junk, symbols in (("plain", 400, 0, 0), ("code", 400, 0, 12), ("dirty", 150, 0.4, 0), ("few", 20, 0, 0)):
+        for k in range(n):
+            body = text([], symbols) if rng.random() >= junk else " ".join(f"{w} $$$$" for w in rng.choices(words, k=80))
+            rows.append({"doc_id": len(rows), "text": body, "lang": "en", "source": source, "n_chars": 0})
+    cuts = {r["source"]: r.asDict() for r in quality.thresholds(with_metrics(spark, rows)).collect()}
+    high = {s: c["high_symbols_per_word"] for s, c in cuts.items()}
+    assert high["plain"] < high["few"] < 300 and high["plain"] < high["code"] < 300
+    assert high["dirty"] < 500  # its own quantile is 4000
+    found = {r["doc_id"]: r["kept"] for r in quality.judge(documents(spark, rows), ["doc_id"]).collect()}
+    kept = Counter((r["source"], "$$$$" in r["text"]) for r in rows if found[r["doc_id"]])
+    assert kept["dirty", True] == 0 and kept["plain", False] >= 395 and kept["code", False] >= 390 and kept["dirty", False] >= 80
+
+
+def test_every_rule_rejects_something(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    stats = staged(quality.text_stats(docs.select("lang", "source", "text")).withColumns(quality.metrics()), "stats")
+    cuts = quality.thresholds(stats)
+    judged = stats.where(~quality.base_failed()).join(cuts, ["lang", "source"])
+    n, *rejected = judged.agg(
+        F.count("*"), *[F.count_if(F.col(r.metric) > F.col(f"high_{r.metric}")) for r in quality.RULES]
+    ).first()
+    assert all(0 < x < 0.08 * n for x in rejected)
+    # symbols: no group of these tables uses any in a tenth of its texts
+    assert all(cuts.select(f"high_{r.metric}").distinct().count() > 1 for r in quality.RULES[1:])
+
+
 def test_quality_of_nothing(spark):
     assert quality.judge(documents(spark, []), ["doc_id"]).collect() == []
 
@@ -206,20 +280,24 @@ def test_mixing_by_the_other_join_and_odd_rows(spark):
 
 def test_stages_against_brute_force(spark, tmp_path):
     rows = sample_documents() + [r for r in odd_documents() if r["doc_id"] is not None]
-    docs = stored(documents(spark, rows), tmp_path, "docs")
+    docs = stored(with_clashes(documents(spark, rows)).withColumn("dotted.name", F.col("doc_id") * 2), tmp_path, "docs")
     columns = docs.columns
+    assert {"_row_key", "_place", "kept", "n_words", "sampled", "topic"} <= set(columns)
     after = {}
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF), tmp_path, name)
         after[name] = docs.collect()
-        assert name == "bpe_round_trip" or docs.columns == columns
+        if name != "bpe_round_trip":
+            assert docs.columns == columns
+            assert all(r[c] == "clash" for r in after[name] for c in CLASHES if c not in ("text", "source"))
+            assert all(r["dotted.name"] == 2 * r["doc_id"] for r in after[name])
     ids = {name: sorted(r["doc_id"] for r in found) for name, found in after.items()}
     verdict = plain_verdicts(rows)
     assert ids["quality_rules"] == sorted(r[0] for r in verdict if r[-1])
     left = [r for r in after["quality_rules"]]
     sets = [shingle_set(r["text"]) for r in left]
     least = {}
-    for r, k in zip(left, least_reachable(sets)):
+    for r, k in zip(left, least_reachable(sets, 80)):
         least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
     assert ids["near_dedup"] == sorted(least.values())
     assert ids["personal_data"] == ids["near_dedup"]
