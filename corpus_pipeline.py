@@ -15,27 +15,37 @@ from deedmill.llm.tokenizers import default_path
 from deedmill.session import staged
 
 
+#: Documents are near-duplicates if five-word shingles agree in so many of a hundred.
+SIMILARITY = 80
+
+
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, and each whole row as one value: no name of the caller's can meet one of an operator's."""
+    return docs.select(F.struct(F.col("*")).alias("row"), *columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the thresholds of their language and source."""
-    judged = quality.judge(docs, docs.columns)
-    return judged.where("kept").select(*docs.columns)
+    judged = quality.judge(_packed(docs, "text", "lang", "source"), ["row"])
+    return judged.where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, per_hundred=SIMILARITY)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, entities replaced by their kind and disclosing terms generalised or removed."""
     clean = pii.sanitise_documents(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", n_chars).select(*pii.named(docs.columns))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn towards the target shares, each once: short of them where the draw has several copies of one."""
-    mixed = mixing.mix(docs, keep_cols=docs.columns, lang_shares=LANG_SHARES)
-    return mixed.where("sampled").select(*docs.columns)
+    mixed = mixing.mix(_packed(docs, "doc_id", "text", "source", "lang"), keep_cols=["row"], lang_shares=LANG_SHARES)
+    return mixed.where("sampled").select("row.*")
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
