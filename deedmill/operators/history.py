@@ -14,11 +14,11 @@ MAX_SEGMENTS = 15_000  # over all keys, beside one per hot key
 QUANTILES = 5_000
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+def micros(ts: str) -> Column:
+    return F.unixmicros(F.col(ts).cast("timestamp"))
 
 
-def _segment_starts(
+def segment_starts(
     versions: DataFrame, key: str, ts: str, segment_rows: int
 ) -> DataFrame | None:
     """Cut points in time for keys with too many versions to sort in one task.
@@ -41,7 +41,7 @@ def _segment_starts(
     cuts = (
         versions.join(F.broadcast(hot), key)
         .groupBy(key, F.ceil(F.col("_n") / F.col("_size")).alias("_wanted"))
-        .agg(F.percentile_approx(_micros(ts), steps, 10 * QUANTILES).alias("_q"))
+        .agg(F.percentile_approx(micros(ts), steps, 10 * QUANTILES).alias("_q"))
     )
     stride = F.greatest(F.floor(F.lit(QUANTILES) / F.col("_wanted")), F.lit(1))
     starts = F.array_distinct(F.filter("_q", lambda q, i: F.pmod(i + 1, stride) == 0))
@@ -99,13 +99,13 @@ def scd2_history(
     )
     in_segment = Window.partitionBy(key, "_segment").orderBy(ts)
     before = F.lag("_value").over(in_segment)
-    starts = _segment_starts(versions.select(key, ts), key, ts, segment_rows)
+    starts = segment_starts(versions.select(key, ts), key, ts, segment_rows)
     if starts is None:
         in_segment = Window.partitionBy(key).orderBy(ts)
         placed = versions.withColumn("_before", F.lag("_value").over(in_segment))
         next_change = F.lead(ts).over(in_segment)
     else:
-        passed = F.size(F.filter("_starts", lambda start: start <= _micros(ts)))
+        passed = F.size(F.filter("_starts", lambda start: start <= micros(ts)))
         # bounded: fewer than MAX_SEGMENTS keys, about two cuts per segment aimed at
         cut = versions.join(F.broadcast(starts), key, "left").withColumn(
             "_segment", F.coalesce(passed, F.lit(0))

@@ -68,6 +68,23 @@ def _load(frames: dict[str, DataFrame], base: str, months: Sequence[str]) -> dic
     return counts
 
 
+Line = tuple[str, str, int | None, str | None]
+
+
+def _settle(months: Sequence[str], attempt: Callable[[Sequence[str]], dict[str, int]], stop_on_error: bool) -> list[Line]:
+    """Load ``months``, by halves where they fail together: a line per month, in order, up to the first bad one if asked."""
+    try:
+        return [(m, OK, n, None) for m, n in attempt(months).items()]
+    except Exception as error:
+        if len(months) == 1:
+            return [(months[0], FAILED, None, str(error))]
+    half = len(months) // 2
+    lines = _settle(months[:half], attempt, stop_on_error)
+    if stop_on_error and any(line[1] == FAILED for line in lines):
+        return lines
+    return lines + _settle(months[half:], attempt, stop_on_error)
+
+
 @cleans_up
 def backfill_job(
     source: DataFrame,
@@ -84,9 +101,10 @@ def backfill_job(
     """Load every month of the range that no earlier run completed.
 
     All pending months go through one job; loading a month again replaces it.
-    Only if that job fails are the months tried one by one, to tell the good
-    from the bad; ``stop_on_error`` ends that at the first failure. ``transform``
-    then runs once, not once per month.
+    Only if that job fails are its halves tried, and so on down to the bad
+    months: one of 64 is found in 13 jobs. ``stop_on_error`` ends that at the
+    first bad month; those after it stay pending. ``transform`` then runs once,
+    not once per month.
     """
     spark = source.sparkSession
     # month keys: a few hundred strings at most
@@ -97,20 +115,7 @@ def backfill_job(
     def attempt(months: Sequence[str]) -> dict[str, int]:
         return _load(month_frames(source, properties, feed, months, codes), base, months)
 
-    results: list[tuple[str, str, int | None, str | None]] = []
-    try:
-        results = [(m, OK, n, None) for m, n in attempt(todo).items()]
-    except Exception as together:
-        if len(todo) == 1:
-            results = [(todo[0], FAILED, None, str(together))]
-        else:
-            for month in todo:
-                try:
-                    results.append((month, OK, attempt([month])[month], None))
-                except Exception as alone:
-                    results.append((month, FAILED, None, str(alone)))
-                    if stop_on_error:
-                        break
+    results = _settle(todo, attempt, stop_on_error)
     if transform is not None and any(r[1] == OK for r in results):
         transform()
     log_months(spark, log_path, results)

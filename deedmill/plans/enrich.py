@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from deedmill.functions.parties import name_fingerprint
+from deedmill.operators.components import components
+from deedmill.operators.similar import clean_name, similar_names
 from deedmill.operators.skew import lookup_left, salted_join
+from deedmill.session import staged
 
 LINK = ["property_id", "derived_property_id", "tax_assessor_id"]
 
@@ -37,7 +40,9 @@ def enrich_transactions(transactions: DataFrame, parcels: DataFrame) -> DataFram
 
 # --- fixed values ------------------------------------------------------------
 FINGERPRINT = "name_fingerprint"
+MISSPELT = "name_edits"
 MAX_EDITS = 4
+MAX_TYPOS = 2
 # --- end of fixed values -----------------------------------------------------
 
 
@@ -71,3 +76,52 @@ def entity_identifiers(dim_entity: DataFrame, max_edits: int = MAX_EDITS, **limi
         edits.alias("edits"),
         (edits <= max_edits).alias("is_match"),
     )
+
+
+def fuzzy_identifiers(dim_entity: DataFrame, max_edits: int = MAX_TYPOS, **limits) -> DataFrame:
+    """Fuzzy identifiers by spelling: entities whose names lead to each other by a few edits at a time.
+
+    Names are compared in upper case with punctuation as one space. Two names
+    are linked if they hold the same numbers and are at most ``max_edits`` edits
+    apart, or a quarter of the shorter one's length where that is less (see
+    ``similar_names``). All entities that links reach resolve to the one with
+    the lowest key, whose name is their ``identifier_value``; ``n_links`` counts
+    the other spellings a name is linked with, ``edits`` is its distance from
+    that value, and ``is_match`` says whether they are linked directly. Names
+    without letters or digits have no identifier.
+    """
+    named = dim_entity.select("entity_key", clean_name(F.col("canonical_entity_name")).alias("name")).where("name <> ''")
+    named = staged(named, "entity-names")
+    heads = staged(named.groupBy("name").agg(F.min("entity_key").alias("head")), "entity-heads")
+    links = staged(similar_names(heads.select("name"), max_edits, **limits), "entity-links")
+    both = links.select(F.explode(F.array("a", "b")).alias("name"))
+    counted = both.groupBy("name").agg(F.count(F.lit(1)).alias("n_links"))
+    groups = components(links, **limits).withColumnRenamed("node", "name")
+    placed = heads.join(groups, "name").join(counted, "name")
+    # of a group the entity with the lowest key, and how it is spelt
+    best = placed.groupBy("root").agg(F.min(F.struct("head", "name")).alias("best"))
+    resolved = placed.join(best, "root").select(
+        F.col("name").alias("_name"), "n_links", F.col("best.head").alias("resolved"), F.col("best.name").alias("value")
+    )
+    known = links.select(F.col("a").alias("x"), F.col("b").alias("y")).union(links.select("b", "a"))
+    direct = resolved.join(known, (F.col("_name") == F.col("x")) & (F.col("value") == F.col("y")), "left").select(
+        F.col("_name").alias("name"), "n_links", "resolved", "value", F.col("x").isNotNull().alias("direct")
+    )
+    full = heads.join(direct, "name", "left").select(
+        "name",
+        F.coalesce("resolved", "head").alias("resolved_entity_key"),
+        F.coalesce("value", "name").alias("identifier_value"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (F.coalesce("direct", F.lit(False)) | F.equal_null("value", "name") | F.col("value").isNull()).alias("is_match"),
+    )
+    columns = ["resolved_entity_key", "identifier_value", "n_links", "is_match"]
+    joined = lookup_left(named, staged(full, "entity-spellings"), "name", columns, F.lit(True), F.col("entity_key"), **limits)
+    return joined.select(
+        "entity_key",
+        F.lit(MISSPELT).alias("identifier_type"),
+        "identifier_value",
+        "resolved_entity_key",
+        "n_links",
+        F.levenshtein("name", "identifier_value").alias("edits"),
+        "is_match",
+    )

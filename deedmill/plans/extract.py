@@ -15,6 +15,7 @@ from deedmill.operators.joins import keyed_rows
 from deedmill.operators.nested import explode_children, flatten_counts
 from deedmill.plans.audit import load_summary
 from deedmill.schemas import Feed
+from deedmill.session import staged
 from deedmill.sources.raw import append_raw, wrap_raw
 from deedmill.sources.scan import scan_date_range
 
@@ -100,6 +101,12 @@ def raw_loads(
     nothing has to be held.
     """
     known = properties_of(nested, properties, codes, keep)
+    if schemas.OWNER_ARRAY in properties.columns or schemas.UNMASK_ARRAY in properties.columns:
+        # several loads of the same properties: which these are is worked out once
+        ids = staged(known.select(*keep, "tax_assessor_id").distinct(), "property-ids")
+        known = properties.join(ids, "tax_assessor_id") if keep else keyed_rows(properties, ids, "tax_assessor_id", "property_use_standardized_code", codes)
+        if keep and codes is not None:
+            known = known.where(F.col("property_use_standardized_code").isin(list(codes)))
     loads = {
         "transactions": flatten_transactions(nested),
         "grantors": explode_parties(nested, "grantor", feed, keep),

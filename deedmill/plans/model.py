@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from deedmill import schemas
 from deedmill.functions.deals import classify_transaction, is_sale
 from deedmill.functions.parties import canonical_id, classify_entity, normalize_name
 from deedmill.functions.truth import flag, truthy_text
+from deedmill.operators.asof import lookup_as_of
 from deedmill.operators.dedupe import first_per_key, latest_per_key
+from deedmill.operators.history import scd2_history
 from deedmill.operators.joins import unique_lookup
 from deedmill.operators.keys import attach_keys
 from deedmill.operators.skew import lookup_left, settled
@@ -45,15 +47,18 @@ def latest_properties(raw: DataFrame) -> DataFrame:
     The document stays closed through the shuffle and is parsed for the
     surviving rows only.
     """
-    newest = latest_per_key(
-        with_resolved_id(raw, "tax_assessor_id"), ["tax_assessor_id"], "extracted_at", ["data"]
+    return _open_properties(
+        latest_per_key(with_resolved_id(raw, "tax_assessor_id"), ["tax_assessor_id"], "extracted_at", ["data"])
     )
-    opened = open_envelope(newest, schemas.raw_property(), ("extracted_at", "tax_assessor_id"))
+
+
+def _open_properties(rows: DataFrame) -> DataFrame:
+    opened = open_envelope(rows, schemas.raw_property(), ("extracted_at", "tax_assessor_id"))
     return opened.withColumn("tax_assessor_id", F.col("_tax_assessor_id")).drop("_tax_assessor_id")
 
 
-def project_dim_property(properties: DataFrame, feed: Feed) -> DataFrame:
-    """All dimension columns but the surrogate key."""
+def project_dim_property(properties: DataFrame, feed: Feed, keep: Sequence[str] = ()) -> DataFrame:
+    """All dimension columns but the surrogate key, and those in ``keep`` as they are."""
     whole = lambda name: F.col(name).try_cast("double").try_cast("int")
     money = lambda name: F.col(name).try_cast(schemas.MONEY)
     return properties.select(
@@ -75,6 +80,7 @@ def project_dim_property(properties: DataFrame, feed: Feed) -> DataFrame:
         F.col("latitude").try_cast("double").alias("latitude"),
         F.col("longitude").try_cast("double").alias("longitude"),
         *scd_columns(feed),
+        *keep,
     )
 
 
@@ -85,6 +91,31 @@ def build_dim_property(
     return attach_keys(rows, ["tax_assessor_id"], "property_key", known)
 
 
+def property_versions(raw: DataFrame, feed: Feed) -> DataFrame:
+    """Every state of every property: the rows of the dimension with the days between which they were valid.
+
+    A version is what the documents of one day say last; without a time it counts from the first day.
+    """
+    newest = latest_per_key(
+        with_resolved_id(raw, "tax_assessor_id").withColumn(
+            "_day", F.coalesce(F.to_date("extracted_at"), F.lit(FIRST_DAY).cast("date"))
+        ),
+        ["tax_assessor_id", "_day"], "extracted_at", ["data"],
+    )
+    opened = open_envelope(newest, schemas.raw_property(), ("tax_assessor_id", "_day"))
+    opened = opened.withColumn("tax_assessor_id", F.col("_tax_assessor_id"))
+    rows = project_dim_property(opened, feed, keep=["__day"])
+    columns = [c for c in rows.columns if c != "__day"]
+    states = [c for c in columns if c not in ("tax_assessor_id", "valid_from", "valid_to", "is_current")]
+    # one row per property and day by now
+    return scd2_history(rows, "tax_assessor_id", "__day", states, [F.asc("source_system")]).select(*columns)
+
+
+def build_dim_property_history(raw_properties: DataFrame, feed: Feed, known: DataFrame | None = None) -> DataFrame:
+    """The dimension with all versions; a version keeps its surrogate key."""
+    return attach_keys(property_versions(raw_properties, feed), ["tax_assessor_id", "valid_from"], "property_key", known)
+
+
 # ---- entity dimension --------------------------------------------------------
 
 
@@ -113,12 +144,9 @@ def union_parties(grantors: DataFrame, grantees: DataFrame, feed: Feed) -> DataF
     return shaped[0].unionByName(shaped[1])
 
 
-def first_parties(parties: DataFrame, drop_blank: bool = False) -> DataFrame:
-    """First party per normalized name: grantors first, then oldest, then by ids."""
-    named = parties.withColumn("normalized", normalize_name(F.col("name")))
-    if drop_blank:
-        named = named.where(F.col("normalized") != "")
-    order = [
+def _mention_order() -> list:
+    """Grantors first, then oldest, then by ids."""
+    return [
         F.asc("role_rank"),
         F.asc_nulls_first("seen_at"),
         F.asc_nulls_last("recorder_id"),
@@ -128,7 +156,23 @@ def first_parties(parties: DataFrame, drop_blank: bool = False) -> DataFrame:
         F.asc_nulls_last("first_name"),
         F.asc_nulls_last("last_name"),
     ]
-    return first_per_key(named, ["normalized"], order)
+
+
+#: What is kept of a name's first mention: its place in the order, and what the entity is made of.
+MENTION = ["normalized", "role_rank", "seen_at", "recorder_id", "source_pk", "name", "entity_code", "first_name", "last_name"]
+
+
+def first_parties(parties: DataFrame, drop_blank: bool = False) -> DataFrame:
+    """First party per normalized name: grantors first, then oldest, then by ids."""
+    named = parties.withColumn("normalized", normalize_name(F.col("name")))
+    if drop_blank:
+        named = named.where(F.col("normalized") != "")
+    return first_per_key(named, ["normalized"], _mention_order())
+
+
+def earlier_mentions(known: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """First mentions (``MENTION``) of both: of first mentions the first is the first of all, whatever the loads."""
+    return fresh if known is None else first_per_key(known.unionByName(fresh), ["normalized"], _mention_order())
 
 
 def project_dim_entity(firsts: DataFrame, feed: Feed) -> DataFrame:
@@ -221,6 +265,22 @@ def lookup_property_key(transactions: DataFrame, lookup: DataFrame, **limits) ->
     )
 
 
+def lookup_property_as_of(transactions: DataFrame, dim_property: DataFrame, **limits) -> DataFrame:
+    """Adds the ``property_key`` of the version that was valid on the day a transaction was recorded.
+
+    Before its first version a property is what that one says: records begin
+    later than deeds.
+    """
+    first = F.row_number().over(Window.partitionBy("tax_assessor_id").orderBy("valid_from")) == 1
+    versions = dim_property.where(truthy_text(F.col("tax_assessor_id"))).select(
+        "tax_assessor_id", "property_key", "valid_to", F.when(~first, F.col("valid_from")).alias("since")
+    )
+    return lookup_as_of(
+        transactions, versions, "tax_assessor_id", "document_recorded_date", ["property_key"],
+        truthy_text(F.col("tax_assessor_id")), F.col("recorder_id"), starts="since", **limits,
+    )
+
+
 def project_fact(
     transactions: DataFrame, feed: Feed, flags: str = "python", keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -262,15 +322,20 @@ def build_fact_transaction(
     feed: Feed,
     known: DataFrame | None = None,
     flags: str = "python",
+    as_of: bool = False,
 ) -> DataFrame:
     """Newest document per transaction, with its key, then the property lookup.
 
+    ``as_of`` takes the property's version of the day of the transaction in place of its current row.
+
     Deduplication and keys share one partitioning by transaction id; the lookup
     comes last. Rows are written once before it where the dimension is large.
     """
     typed = type_transactions(latest_transactions(raw_transactions, feed))
     ids = resolved_ids(raw_transactions, "recorder_id")
     keyed = attach_keys(typed, ["recorder_id"], "transaction_key", known, ids)
+    if as_of:
+        return project_fact(lookup_property_as_of(keyed, dim_property), feed, flags, ["transaction_key"])
     lookup = property_lookup(dim_property)
     looked = lookup_property_key(settled(keyed, lookup, "fact-rows"), lookup)
     return project_fact(looked, feed, flags, ["transaction_key"])
@@ -280,16 +345,17 @@ def build_fact_transaction(
 
 
 def build_bridge_transaction_party(
-    parties: DataFrame, fact: DataFrame, dim_entity: DataFrame, feed: Feed, **limits
+    parties: DataFrame, fact: DataFrame, dim_entity: DataFrame, feed: Feed, keep: Sequence[str] = (), **limits
 ) -> DataFrame:
     """One row per party of a transaction, roles in lower case.
 
     A name that very many deeds share (a large bank) is a hot key of the entity
-    lookup and is joined apart.
+    lookup and is joined apart. ``keep`` names columns of parties or fact to add.
     """
     one_party = F.struct("recorder_id", "source_pk", "role")
     # a deed has few parties, so no key is hot here
-    keyed = parties.join(fact.select("recorder_id", "transaction_key"), "recorder_id")
+    wanted = [c for c in keep if c not in parties.columns]
+    keyed = parties.join(fact.select("recorder_id", "transaction_key", *wanted), "recorder_id")
     keyed = keyed.withColumn(
         "canonical_entity_id", canonical_id(normalize_name(F.col("name")), feed.name)
     )
@@ -308,16 +374,22 @@ def build_bridge_transaction_party(
         "entity_key",
         F.lower("role").alias("party_role"),
         F.col("name").alias("party_name_raw"),
+        *keep,
     )
 
 
-def build_bridge_property_owner(fact: DataFrame, bridge_party: DataFrame) -> DataFrame:
-    """Owners of a property: the grantees of its latest sale."""
-    sales = fact.where(F.col("is_sale") & F.col("property_key").isNotNull()).select(
-        "property_key", "transaction_key", "transaction_date"
-    )
-    latest = latest_per_key(sales, ["property_key"], "transaction_date", [F.desc("transaction_key")])
+def build_bridge_property_owner(fact: DataFrame, bridge_party: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Owners of a property: the grantees of its latest sale; ``keep`` may name the sale's ``transaction_key``."""
+    latest = latest_sales(fact)
     owners = bridge_party.where((F.col("party_role") == "grantee") & F.col("entity_key").isNotNull())
     # one sale per property and few parties per sale: no key is hot
     owned = owners.join(latest.select("transaction_key", "property_key"), "transaction_key")
-    return owned.select("property_key", "entity_key").distinct()
+    return owned.select("property_key", "entity_key", *keep).distinct()
+
+
+def latest_sales(fact: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The latest sale of each property: ``property_key``, ``transaction_key``, ``transaction_date`` and ``keep``."""
+    sales = fact.where(F.col("is_sale") & F.col("property_key").isNotNull()).select(
+        "property_key", "transaction_key", "transaction_date", *keep
+    )
+    return latest_per_key(sales, ["property_key"], "transaction_date", [F.desc("transaction_key")])

@@ -198,6 +198,34 @@ def line_grantees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: An owner per customer, and how every so manieth is written as well: (each, offset of the key, name).
+OWNER = """concat(translate(substr(md5(cast(c_custkey as string)), 1, 10), '0123456789abcdef', 'bcdfghjklmnprstv'),
+    case c_custkey % 4 when 0 then ' Holdings' when 1 then ' Partners' when 2 then ' Realty' else ' Capital' end,
+    case c_custkey % 3 when 0 then ' LLC' when 1 then ' Inc.' else ' Trust' end)"""
+MISSPELT = [
+    (1, 0, "owner"),
+    (3, 1, "concat(substr(owner, 1, 2), substr(owner, 4))"),
+    (4, 2, "lower(concat(substr(owner, 1, 4), 'x', substr(owner, 6)))"),
+    (6, 3, "concat(substr(owner, 1, 1), 'q', substr(owner, 2, 5), substr(owner, 8))"),
+    (9, 4, "concat(substr(owner, 1, 2), substr(owner, 4, 1), 'x', substr(owner, 6))"),
+    (5, 5, "concat(owner, ' ', cast(c_custkey % 2 as string))"),
+    (7, 6, "concat('  ', replace(owner, ' ', '. '), '!')"),
+    (31, 7, "substr(owner, 1, 3 + c_custkey % 2)"),
+    (97, 8, "'--'"),
+]
+
+
+def misspelt_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities with misspelt doubles."""
+    owners = table(spark, sf_dir, "customer").select("c_custkey", F.expr(OWNER).alias("owner"))
+    forms = [
+        F.when(F.col("c_custkey") % each == 0, F.struct((F.col("c_custkey") + at * 1_000_000_000).alias("k"), F.expr(name).alias("name")))
+        for each, at, name in MISSPELT
+    ]
+    rows = owners.select(F.explode(F.array(*forms)).alias("f")).where("f IS NOT NULL")
+    return rows.select(F.col("f.k").alias("entity_key"), F.col("f.name").alias("canonical_entity_name"))
+
+
 # ---- properties --------------------------------------------------------------
 
 PROPERTY = {
@@ -251,6 +279,18 @@ def raw_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads[0].unionByName(loads[1])
 
 
+def property_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four states of every property in time, some equal to the one before; every fifth has none."""
+    v = F.col("v")
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").where(key % 5 != 0).select("*", F.explode(F.array(*map(F.lit, range(4)))).alias("v")).select(
+        text("c_custkey").alias("tax_assessor_id"),
+        F.date_add(F.lit("1992-01-01").cast("date"), (key * 37 % 500 + v * 500).cast("int")).alias("since"),
+        F.concat(F.col("c_mktsegment"), F.lit("-"), text((key + F.floor(v / 2)) % 3)).alias("property_use_code"),
+        (key % 300 + F.floor(v / 3)).cast("int").alias("units_count"),
+    )
+
+
 def property_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A property dimension keyed by customer, for lookups (multifamily only)."""
     return (

@@ -297,6 +297,48 @@ SELECT entity_key, 'name_fingerprint' AS identifier_type, identifier_value, reso
   levenshtein(upper(name), upper(head)) <= 4 AS is_match
 FROM marked JOIN heads USING (identifier_value)"""
 
+_CLEAN = r"trim(regexp_replace({}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+ORACLE["fuzzy_identifiers"] = rf"""
+WITH RECURSIVE o AS (
+  SELECT c_custkey AS c, translate(substr(md5(CAST(c_custkey AS VARCHAR)), 1, 10), '0123456789abcdef', 'bcdfghjklmnprstv')
+    || CASE c_custkey % 4 WHEN 0 THEN ' Holdings' WHEN 1 THEN ' Partners' WHEN 2 THEN ' Realty' ELSE ' Capital' END
+    || CASE c_custkey % 3 WHEN 0 THEN ' LLC' WHEN 1 THEN ' Inc.' ELSE ' Trust' END AS owner
+  FROM customer),
+spelled AS (
+  SELECT c AS entity_key, owner AS name FROM o
+  UNION ALL SELECT c + 1000000000, substr(owner, 1, 2) || substr(owner, 4) FROM o WHERE c % 3 = 0
+  UNION ALL SELECT c + 2000000000, lower(substr(owner, 1, 4) || 'x' || substr(owner, 6)) FROM o WHERE c % 4 = 0
+  UNION ALL SELECT c + 3000000000, substr(owner, 1, 1) || 'q' || substr(owner, 2, 5) || substr(owner, 8) FROM o WHERE c % 6 = 0
+  UNION ALL SELECT c + 4000000000, substr(owner, 1, 2) || substr(owner, 4, 1) || 'x' || substr(owner, 6) FROM o WHERE c % 9 = 0
+  UNION ALL SELECT c + 5000000000, owner || ' ' || (c % 2) FROM o WHERE c % 5 = 0
+  UNION ALL SELECT c + 6000000000, '  ' || replace(owner, ' ', '. ') || '!' FROM o WHERE c % 7 = 0
+  UNION ALL SELECT c + 7000000000, substr(owner, 1, CAST(3 + c % 2 AS INTEGER)) FROM o WHERE c % 31 = 0
+  UNION ALL SELECT c + 8000000000, '--' FROM o WHERE c % 97 = 0),
+named AS (SELECT entity_key, {_CLEAN.format("upper(name)")} AS name FROM spelled),
+heads AS (
+  SELECT name, min(entity_key) AS head, trim(regexp_replace(name, '[^\p{{N}}]+', ' ', 'g')) AS numbers,
+    list_sum(list_transform(list_distinct(list_transform(string_split(name, ''), lambda c: unicode(c) % 60)), lambda c: 1::BIGINT << c))::BIGINT AS letters
+  FROM named WHERE name <> '' GROUP BY name),
+pairs AS (
+  -- all pairs; an edit adds one letter to those used and takes one away at most
+  SELECT x.name AS a, y.name AS b
+  FROM heads x JOIN heads y ON x.numbers = y.numbers AND x.name < y.name AND abs(length(x.name) - length(y.name)) <= 2
+  WHERE CASE WHEN bit_count(xor(x.letters, y.letters)) <= 4 THEN levenshtein(x.name, y.name) ELSE 9 END
+    <= least(2, least(length(x.name), length(y.name)) // 4)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT name, name AS other FROM heads
+  UNION SELECT r.name, l.b FROM reach r JOIN links l ON l.a = r.other),
+resolved AS (
+  SELECT r.name, min(h.head) AS resolved_entity_key, arg_min(h.name, h.head) AS identifier_value
+  FROM reach r JOIN heads h ON h.name = r.other GROUP BY r.name)
+SELECT entity_key, 'name_edits' AS identifier_type, identifier_value, resolved_entity_key,
+  (SELECT count(*) FROM links WHERE a = n.name) AS n_links,
+  CAST(levenshtein(n.name, identifier_value) AS INTEGER) AS edits,
+  n.name = identifier_value OR EXISTS (SELECT 1 FROM links WHERE a = n.name AND b = identifier_value) AS is_match
+FROM named n JOIN resolved USING (name)"""
+
 # ---- properties --------------------------------------------------------------
 
 ORACLE["dim_property"] = f"""
@@ -434,11 +476,41 @@ FROM closed"""
 # ---- bridges -----------------------------------------------------------------
 
 _BRIDGE = """
+keyed AS (SELECT *, dense_rank() OVER (ORDER BY normalized) AS entity_key FROM named),
 bridge AS (
-  SELECT CAST(n.recorder_id AS BIGINT) + 1 AS transaction_key, e.entity_key, lower(n.role) AS party_role,
-    n.name AS party_name_raw
-  FROM named n JOIN entities e ON n.normalized = e.normalized
-  JOIN txn t ON t.recorder_id = n.recorder_id)"""
+  SELECT t.o_orderkey + 1 AS transaction_key, k.entity_key, lower(k.role) AS party_role, k.name AS party_name_raw
+  FROM keyed k JOIN txn t ON t.recorder_id = k.recorder_id)"""
+
+ORACLE["scd2_by_change"] = ORACLE["scd2_history"]
+
+ORACLE["stored_pages"] = f"""
+WITH placed AS (
+  SELECT o_orderdate, o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place, count(*) OVER () AS n
+  FROM orders),
+parts AS (
+  SELECT 'early' AS part, * FROM placed WHERE place >= 80 AND place < 120
+  UNION ALL SELECT 'late', * FROM placed WHERE place >= n // 100 * 70 AND place < n // 100 * 70 + 70
+  UNION ALL SELECT 'first', * FROM placed WHERE place < n // 3 + 11)
+SELECT part, strftime(o_orderdate, {_TIME}) AS o_orderdate, o_orderkey, o_totalprice FROM parts"""
+
+ORACLE["fact_as_of"] = f"""
+{_with(_TXN)},
+versions AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS tax_assessor_id, DATE '1992-01-01' + CAST(c_custkey * 37 % 500 + v * 500 AS INTEGER) AS since,
+    c_mktsegment || '-' || CAST((c_custkey + v // 2) % 3 AS VARCHAR) AS property_use_code,
+    CAST(c_custkey % 300 + v // 3 AS INTEGER) AS units_count
+  FROM customer, range(4) r(v) WHERE c_custkey % 5 <> 0),
+changes AS (
+  SELECT * FROM versions
+  WINDOW w AS (PARTITION BY tax_assessor_id ORDER BY since)
+  QUALIFY lag(property_use_code) OVER w IS DISTINCT FROM property_use_code OR lag(units_count) OVER w IS DISTINCT FROM units_count),
+dim AS (
+  SELECT *, row_number() OVER (ORDER BY tax_assessor_id, since) AS property_key,
+    lead(since) OVER (PARTITION BY tax_assessor_id ORDER BY since) AS until
+  FROM changes)
+SELECT t.recorder_id, t.tax_assessor_id, strftime(t.document_recorded_date, '%Y-%m-%d') AS document_recorded_date, d.property_key, d.property_use_code, d.units_count
+FROM txn t LEFT JOIN dim d ON d.tax_assessor_id = t.tax_assessor_id AND t.document_recorded_date >= d.since
+  AND (d.until IS NULL OR t.document_recorded_date < d.until)"""
 
 ORACLE["bridge_transaction_party"] = f"{_with(_TXN, _PARTIES, _BRIDGE)} SELECT * FROM bridge"
 
@@ -897,6 +969,32 @@ ORACLE["job_validate"] = " UNION ALL ".join(
 ORACLE["job_backfill"] = """
 SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, 1 AS tries FROM orders GROUP BY 1"""
 
+ORACLE["file_properties"] = """
+WITH months(m) AS (VALUES (1), (2), (3), (4))
+SELECT 'p' || c_custkey AS property_id, '2024-0' || max(m) AS snapshot_month, 1000 + (c_custkey + max(m)) % 1000 AS units,
+  '19' || (50 + max(m)) || '-05-01' AS completion_date, c_nationkey + CAST(0.5 AS DOUBLE) AS latitude
+FROM customer, months WHERE c_custkey % m = 0 GROUP BY c_custkey, c_nationkey"""
+
+ORACLE["file_loans"] = """
+SELECT 'P' || (o_custkey % 700) AS property_name, CAST(10000 + o_custkey % 50 AS VARCHAR) AS zip,
+  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS loan_origination_date,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 1000 AS DOUBLE) AS loan_amount,
+  o_orderpriority AS lender_name, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS originator_name
+FROM orders WHERE o_orderstatus = 'O'
+QUALIFY row_number() OVER (PARTITION BY o_custkey % 700, o_custkey % 50, date_trunc('month', o_orderdate) ORDER BY o_orderkey) = 1"""
+
+ORACLE["file_series"] = """
+SELECT CAST(user_id AS VARCHAR) AS property_id, CASE event_type WHEN 'view' THEN 'Rent Actual' ELSE 'Occupancy Rate' END AS series,
+  strftime(ts, '%Y-%m-%d') AS record_date, CASE WHEN event_id % 9 <> 0 THEN value END AS record_values
+FROM events WHERE event_type IN ('view', 'purchase')"""
+
+ORACLE["file_demographics"] = """
+WITH counts AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1),
+rows AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS geography_code, vintage, CAST(n + CASE vintage WHEN '2024A' THEN 1000 ELSE 0 END AS DOUBLE) AS household_count
+  FROM nation JOIN counts ON c_nationkey = n_nationkey, (VALUES ('2023A'), ('2024A')) v(vintage))
+SELECT *, (SELECT count(*) FROM rows) AS rows_added FROM rows"""
+
 ORACLE["default_window"] = f"""
 SELECT o_orderkey, strftime(o_orderdate, {_DAY}) AS day FROM orders
 WHERE CAST(o_orderdate AS DATE) >= (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 1"""

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from deedmill.functions import calendar, parties as names, truth
 from deedmill.functions.deals import classify_transaction
-from deedmill.operators import aggregates, dedupe, history, joins, keys, upsert
+from deedmill.functions.truth import truthy_text
+from deedmill.operators import aggregates, asof, dedupe, history, joins, keys, upsert
 from deedmill.operators.nested import explode_children
 from deedmill.plans import audit, backfill, enrich, extract, file_loads, model, quality, rollups
 from deedmill.plans.transform import bridges_job, read_model, transform_job
@@ -22,8 +23,10 @@ from deedmill.plans.validate import validate_job
 from deedmill import schemas
 from deedmill.registry import adapters as ad
 from deedmill.registry.adapters import FEED, table
-from deedmill.session import scratch_path, staged
-from deedmill.sources import raw, scan
+from deedmill.session import filesystem, scratch_path, staged
+from deedmill.plans.versions import read_history, take_in_versions
+from deedmill.sources import pages, raw, scan
+from deedmill.sources.buckets import read_buckets
 from deedmill.sources.files import load_series as keep_series
 from deedmill.sources.snapshots import read_partitions, read_snapshot, upsert_partitions
 from deedmill.streaming.ingest import incremental_ingest as ingest
@@ -260,6 +263,12 @@ def entity_identifiers(spark, sf_dir):
     return enrich.entity_identifiers(spelled)
 
 
+@query
+def fuzzy_identifiers(spark, sf_dir):
+    """Misspelt owners resolved to the one they were misspelt from."""
+    return enrich.fuzzy_identifiers(ad.misspelt_owners(spark, sf_dir))
+
+
 # ---- properties --------------------------------------------------------------
 
 
@@ -400,6 +409,45 @@ def scd2_history(spark, sf_dir):
     return history.scd2_history(versions, "user_id", "ts", ["event_type", "high"], tie)
 
 
+@query
+def scd2_by_change(spark, sf_dir):
+    """The same history, from versions that come in five batches, shuffled in time."""
+    base = scratch_path(spark, "versions")
+    versions = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", "event_type", (F.col("value") > 5).alias("high")
+    )
+    tie = [F.asc("event_type"), F.asc("high")]
+    for k in range(5):
+        batch = versions.where(F.pmod(F.xxhash64("event_id"), F.lit(5)) == k).drop("event_id")
+        take_in_versions(batch, base, "user_id", "ts", ["event_type", "high"], tie, buckets=8)
+    return read_history(spark, base)
+
+
+@query
+def stored_pages(spark, sf_dir):
+    """An early and a late page of the orders, and the first of them up to a cap that cuts a file."""
+    base = scratch_path(spark, "pages")
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
+    total = pages.write_pages(orders, ["o_orderdate", "o_orderkey"], base, rows_per_file=max(1, orders.count() // 7))
+    parts = {"early": pages.read_page(spark, base, 40, 2), "late": pages.read_page(spark, base, 70, total // 100)}
+    parts["first"] = pages.read_first(spark, base, total // 3 + 11)
+    return reduce(DataFrame.unionByName, [p.withColumn("part", F.lit(name)) for name, p in parts.items()])
+
+
+@query
+def fact_as_of(spark, sf_dir):
+    """Transactions with the state of their property on their day, from its history."""
+    versions = ad.property_versions(spark, sf_dir)
+    states = ["property_use_code", "units_count"]
+    dim = history.scd2_history(versions, "tax_assessor_id", "since", states, [F.asc("units_count")])
+    dim = keys.attach_keys(dim, ["tax_assessor_id", "valid_from"], "property_key")
+    rows = ad.transactions(spark, sf_dir).select("recorder_id", "tax_assessor_id", "document_recorded_date")
+    return asof.lookup_as_of(
+        rows, dim, "tax_assessor_id", "document_recorded_date", ["property_key", *states],
+        truthy_text(F.col("tax_assessor_id")), F.col("recorder_id"),
+    )
+
+
 # ---- bridges -----------------------------------------------------------------
 
 
@@ -741,19 +789,22 @@ def agg_demographic(spark, sf_dir):
 # ---- jobs ---------------------------------------------------------------------
 
 
-#: What an application has landed already: the jobs run once for all queries that read their tables.
-_LANDED: dict[tuple[str, str, bool], str] = {}
+#: What an application has landed, by the very state of the files it came from.
+_LANDED: dict[tuple, str] = {}
 
 
 def _landed(spark, sf_dir, transform=False):
-    """Two windows that overlap, landed and, if asked for, modelled one after the other."""
-    known = (spark.sparkContext.applicationId, sf_dir, transform)
+    """What the jobs make of ``sf_dir``: run once for all queries that read their tables, again when a file has changed."""
+    fs, folder = filesystem(spark, sf_dir)
+    files = tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(folder)))
+    known = (spark.sparkContext.applicationId, sf_dir, transform, files)
     if known not in _LANDED:
         _LANDED[known] = _land(spark, sf_dir, transform)
     return _LANDED[known]
 
 
-def _land(spark, sf_dir, transform):
+def _land(spark, sf_dir, transform=False):
+    """Two windows that overlap, landed and, if asked for, taken into the model one after the other."""
     base = scratch_path(spark, "jobs")
     nested = staged(ad.nested_transactions(spark, sf_dir), "nested")
     properties = ad.property_records(spark, sf_dir)
@@ -764,8 +815,7 @@ def _land(spark, sf_dir, transform):
         extract.extract_job(nested, properties, f"{base}/raw", FEED, first, last, seen, ad.USE_CODES, run=run)
         if transform:
             transform_job(spark, f"{base}/raw", f"{base}/model", FEED, batches=[run])
-    if transform:
-        bridges_job(spark, f"{base}/raw", f"{base}/model", FEED)
+            bridges_job(spark, f"{base}/raw", f"{base}/model", FEED, batches=[run])
     return base
 
 
@@ -799,8 +849,8 @@ def job_raw_mortgages(spark, sf_dir):
 
 @query
 def job_fact(spark, sf_dir):
-    """The fact after both windows: kept keys, newest documents, property looked up."""
-    base = f"{_landed(spark, sf_dir, transform=True)}/model"
+    """The fact after both windows: kept keys, newest documents, property looked up. The jobs run in every call."""
+    base = f"{_land(spark, sf_dir, transform=True)}/model"
     names = read_model(spark, base, "dim_property").select("property_key", "tax_assessor_id")
     return read_model(spark, base, "fact_transaction").join(names, "property_key", "left").select(
         "transaction_key", "recorder_id", "tax_assessor_id", "transaction_date", "document_amount",
@@ -899,6 +949,92 @@ def file_audit(spark, sf_dir):
     return spark.read.parquet(_file_loads(spark, sf_dir).audit)
 
 
+def _csv(rows, path):
+    """Written as a delimited file with a header; the path."""
+    rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns]).write.option("header", True).csv(path)
+    return path
+
+
+def _place(spark):
+    base = scratch_path(spark, "files")
+    return base, file_loads.Place(f"{base}/tables", f"{base}/audit"), F.lit("2025-01-01").cast("date")
+
+
+@query
+def file_properties(spark, sf_dir):
+    """Monthly property files, two together, a newer one, then one that comes late."""
+    base, place, day = _place(spark)
+    key = F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer")
+    for load, months in enumerate((("2024-01", "2024-02"), ("2024-04",), ("2024-03",))):
+        paths = {}
+        for month in months:
+            m = int(month[-2:])
+            values = {
+                "property_id": F.concat(F.lit("p"), key), "property_name": F.col("c_name"), "zip": 10000 + key % 500,
+                "units": F.concat(F.lit("1,"), F.lpad((key + m).cast("string"), 3, "0")),
+                "completion_date": F.lit(f"19{50 + m}-05-01"), "latitude": F.col("c_nationkey") + 0.5,
+            }
+            columns = [values.get(n, F.lit(None)).cast("string").alias(n) for n in schemas.SNAPSHOT_PROPERTY.fieldNames()]
+            paths[month] = _csv(customers.where(key % m == 0).select(*columns), f"{base}/{load}-{month}")
+        file_loads.load_properties_job(spark, paths, place, day)
+    return read_buckets(spark, f"{place.base}/properties").select(
+        "property_id", "snapshot_month", "units", "completion_date", "latitude"
+    )
+
+
+@query
+def file_loans(spark, sf_dir):
+    base, place, day = _place(spark)
+    key = F.col("o_custkey")
+    loans = table(spark, sf_dir, "orders").select(
+        key.alias("property_id"), F.concat(F.lit("P"), key % 700).alias("property_name"), (10000 + key % 50).alias("zip"),
+        (F.col("o_totalprice").cast("decimal(18,2)") / 1000).cast("decimal(18,5)").alias("loan_amount(MM)"),
+        F.date_format("o_orderdate", "yyyy-MM-01").alias("loan_origination_date"), F.lit("2030-01-01").alias("loan_maturity_date"),
+        F.when(F.col("o_orderstatus") == "O", "Current").otherwise("Paid Off").alias("loan_status"),
+        F.col("o_orderpriority").alias("lender"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("originator"),
+    )
+    file_loads.load_loans_job(spark, _csv(loans, f"{base}/loans"), place, ["originator"], day)
+    return read_snapshot(spark, f"{place.base}/loans").select(
+        "property_name", "zip", "loan_origination_date", "loan_amount", "lender_name", "originator_name"
+    )
+
+
+@query
+def file_series(spark, sf_dir):
+    base, place, day = _place(spark)
+    names = F.when(F.col("event_type") == "view", "Rent Actual").when(F.col("event_type") == "purchase", "Occupancy Rate").otherwise("Other")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("property_id"), F.lit(None).cast("string").alias("property_name"), F.lit("m").alias("market_name"),
+        F.lit("s").alias("submarket_name"), names.alias("series"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("record_date"),
+        F.when(F.col("event_id") % 9 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("record_values"),
+    )
+    file_loads.load_series_job(spark, _csv(rows, f"{base}/series"), place, day)
+    return read_snapshot(spark, f"{place.base}/series").select("property_id", "series", "record_date", "record_values")
+
+
+@query
+def file_demographics(spark, sf_dir):
+    """Two vintages, then one of them again with other numbers; an audit row tells what a load added."""
+    base, place, day = _place(spark)
+    areas = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("geography_code"), F.col("n_name").alias("geography_name"), F.lit("TRACT").alias("geography_type"),
+    )
+    customers = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("geography_code")).agg(
+        F.count(F.lit(1)).alias("household_count")
+    )
+    rows = areas.join(customers, "geography_code")
+    for load, (vintages, more) in enumerate(((("2023A", "2024A"), 0), (("2024A",), 1000))):
+        several = rows.withColumn("vintage", F.explode(F.array(*map(F.lit, vintages)))).withColumn(
+            "household_count", F.format_number(F.col("household_count") + more, 0)
+        )
+        file_loads.load_demographics_job(spark, _csv(several, f"{base}/demographics-{load}"), place, day)
+    added = spark.read.parquet(place.audit).agg(F.sum("new_rows").alias("added"))
+    return read_partitions(spark, f"{place.base}/demographics", "vintage").select(
+        "geography_code", "vintage", "household_count", added.scalar().alias("rows_added")
+    )
+
+
 @query
 def default_window(spark, sf_dir):
     """The orders of yesterday and today, today being the last day there is one."""
@@ -922,4 +1058,4 @@ def incremental_ingest(spark, sf_dir):
         spark, f"{base}/landing", events.schema, "user_id", "ts", f"{base}/raw", f"{base}/table", f"{base}/progress",
         tiebreak=["event_id"], files_per_batch=1,
     )
-    return read_snapshot(spark, f"{base}/table").select("user_id", "ts", "event_type", "event_id")
+    return read_buckets(spark, f"{base}/table").select("user_id", "ts", "event_type", "event_id")

@@ -82,6 +82,13 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_demographics(spark: SparkSession, path: str | list[str], required: Sequence[str]) -> DataFrame:
+    """Demographics by area: the ``required`` columns as text, all others as numbers."""
+    df = require_columns(spark.read.csv(path, header=True, inferSchema=False, mode="FAILFAST"), required)
+    measures = [c for c in df.columns if c not in required]
+    return df.select(*required, *[clean_number(F.col(f"`{c}`")).alias(c) for c in measures])
+
+
 def clean_snapshot(df: DataFrame) -> DataFrame:
     """Typed columns of the property master."""
     return df.withColumns(

@@ -122,6 +122,27 @@ def upsert_partitions(
         return rows.count()
 
 
+def replace_partitions(source: DataFrame, path: str, groups: Sequence[str], partition: str, whole: bool = False) -> None:
+    """Replace groups of rows (all those with the same ``groups``) in a table partitioned by a text column.
+
+    Partitions that hold rows of these groups, before or after, are rewritten and
+    no others. With ``whole`` the source is all there is to be: partitions that
+    it does not have are removed.
+    """
+    target = read_partitions(source.sparkSession, path, partition)
+    if target is None or (list(groups) == [partition] and not whole):
+        _overwrite_partitions(source, path, partition)
+    elif not whole:
+        _merge_partitions(target, source, path, list(groups), partition, None)
+    else:
+        names = [r[0] for r in source.select(partition).distinct().collect()]
+        gone = _folders(target.where(~_is_any(partition, names))) if names else _folders(target)
+        _overwrite_partitions(source, path, partition)
+        for folder in gone:
+            fs, place = filesystem(source.sparkSession, folder)
+            fs.delete(place, True)
+
+
 def _merge_partitions(
     target: DataFrame,
     rows: DataFrame,

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from deedmill.operators.dedupe import latest_per_key
-from deedmill.session import job_folder, staged
+from deedmill.session import job_folder
+from deedmill.sources.buckets import merge_buckets
 from deedmill.sources.raw import replace_batches, wrap_raw
-from deedmill.sources.snapshots import read_snapshot, upsert_snapshot
 
 
 def incremental_ingest(
@@ -29,7 +29,7 @@ def incremental_ingest(
     """Take in the files that came since the last run, then stop.
 
     Every micro-batch lands in the raw table and its newest row per id is
-    upserted into the snapshot table. A batch replayed after a failure replaces
+    taken into the table, of which only the buckets of its ids are rewritten. A batch replayed after a failure replaces
     its own raw partition and upserts the same rows, so replays change nothing.
     Late rows need no watermark: rows of a batch and the table's own compete by
     the same order (newest, then ``tiebreak``), so the result does not depend on
@@ -57,16 +57,16 @@ def incremental_ingest(
 
 
 def merge_newest(rows: DataFrame, table_base: str, key: str, ts: str, tiebreak: Sequence[str] = ()) -> int:
-    """Upsert ``rows`` (one per key) where they come before the table's row of the same key.
+    """Take in ``rows`` (one per key) where they come before the table's row of the same key.
 
-    The table is only filtered by the keys of the batch, the smaller side, and
-    not shuffled for a small batch.
+    Only the buckets of the batch's keys are read and written; returns their number.
     """
-    current = read_snapshot(rows.sparkSession, table_base)
-    if current is not None:
-        rows = staged(rows, "batch")
-        known = current.join(rows.select(key), key, "left_semi").withColumn("_new", F.lit(1))
-        both = rows.withColumn("_new", F.lit(2)).unionByName(known, allowMissingColumns=True)
-        winners = latest_per_key(both, [key], ts, [*tiebreak, "_new"])
-        rows = winners.where(F.col("_new") == 2).drop("_new")
-    return upsert_snapshot(rows, table_base, [key])
+
+    def newest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if current is None:
+            return batch
+        # where no order decides, the table's row stays
+        both = current.withColumn("_new", F.lit(1)).unionByName(batch.withColumn("_new", F.lit(2)), allowMissingColumns=True)
+        return latest_per_key(both, [key], ts, [*tiebreak, "_new"]).drop("_new")
+
+    return merge_buckets(rows, table_base, [key], newest)

@@ -15,6 +15,7 @@ from deedmill.schemas import Feed
 from deedmill.operators.upsert import upsert
 from deedmill.session import freeze, job_folder, scratch_path
 from deedmill.sources import files, snapshots
+from deedmill.sources.buckets import read_buckets
 from deedmill.sources.raw import read_raw
 from deedmill.sources.snapshots import read_snapshot, upsert_partitions, upsert_snapshot, write_snapshot
 from deedmill.streaming.ingest import incremental_ingest
@@ -104,7 +105,7 @@ def test_extract_transform_validate(spark, tmp_path, landing):
     assert bridges_job(spark, raw_base, model_base, FEED)["counts"] == {
         "bridge_transaction_party": 5, "bridge_property_owner": 1,
     }
-    owners = values(read_snapshot(spark, f"{model_base}/bridge_property_owner"), "property_key", "entity_key")
+    owners = values(read_model(spark, model_base, "bridge_property_owner"), "property_key", "entity_key")
     assert owners == [(1, later["feed::ZED"])]
 
     report = validate_job(spark, model_base, reports, "2024-01-01", "2024-12-31")
@@ -236,6 +237,56 @@ def test_backfill_stops_on_error(spark, tmp_path, landing, monkeypatch):
     assert (got["succeeded"], got["failed"]) == (0, 1)
 
 
+@pytest.mark.parametrize("bad", [set(), {17}, {0}, {63}, {3, 4}, {0, 31, 32, 63}, set(range(64))])
+@pytest.mark.parametrize("stop", [False, True])
+def test_bad_months_are_found_by_halves(bad, stop):
+    months = [f"{2020 + k // 12}-{k % 12 + 1:02d}" for k in range(64)]
+    tried = []
+
+    def attempt(some):
+        tried.append(some)
+        if any(months.index(m) in bad for m in some):
+            raise RuntimeError("bad")
+        return {m: 1 for m in some}
+
+    lines = backfill._settle(months, attempt, stop)
+    upto = min(bad) + 1 if stop and bad else 64
+    assert lines == [
+        (m, audit.FAILED, None, "bad") if k in bad else (m, audit.OK, 1, None) for k, m in enumerate(months[:upto])
+    ]
+    assert len(tried) <= 1 + 12 * len(bad)
+
+
+def test_quality_suite_reads_the_fact_twice(spark, tmp_path, landing, monkeypatch):
+    source, props = landing
+    raw_base, model_base = f"{tmp_path}/raw", f"{tmp_path}/model"
+    extract_job(source, props, raw_base, FEED, "2024-01-01", "2024-03-31", as_of="2024-04-01")
+    transform_job(spark, raw_base, model_base, FEED)
+    bridges_job(spark, raw_base, model_base, FEED)
+    read = lambda name: read_model(spark, model_base, name)
+    tables = quality.Tables(*[read(n) for n in ("dim_property", "dim_entity", "fact_transaction", "bridge_transaction_party", "bridge_property_owner")])
+    scans = []
+    staged = quality.staged
+
+    def watched(df, name):
+        out = staged(df, name)
+        scans.append(plan(df).split("== Physical Plan ==")[-1].count("fact_transaction"))
+        return out
+
+    monkeypatch.setattr(quality, "staged", watched)
+    checks, stats = quality.validate_all(tables, "2024-01-01", "2024-12-31")
+    final = plan(checks) + plan(stats)
+    assert sum(scans) == 2 and "fact_transaction]" not in final
+    # the same rows as the checks give one by one
+    parts = [
+        quality.check_required_fields(tables), quality.check_uniqueness(tables), quality.check_referential_integrity(tables),
+        quality.check_consistency(tables, "2024-01-01", "2024-12-31"), quality.check_business_logic(tables),
+    ]
+    alone = sorted(str(r) for part in parts for r in part.collect())
+    assert sorted(map(str, checks.collect())) == alone
+    assert sorted(map(str, stats.collect())) == sorted(map(str, quality.collect_statistics(tables).collect()))
+
+
 def test_owners_and_mortgages_land_where_nested(spark, tmp_path, landing):
     source, props = landing
     owner = dict(zip(FEED.owner_fields(), ["o1", "Jo Doe"]))
@@ -356,7 +407,7 @@ def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
             spark, str(landing), schema, "id", "ts", f"{tmp_path}/raw", f"{tmp_path}/table", f"{tmp_path}/progress",
             tiebreak=["v"], file_format="json", files_per_batch=1,
         )
-        return sorted(values(read_snapshot(spark, f"{tmp_path}/table"), "id", "ts", "v"))
+        return sorted(values(read_buckets(spark, f"{tmp_path}/table"), "id", "ts", "v"))
 
     land("1.json", [("a", "2024-01-02", "a2"), ("a", "2024-01-01", "a1"), ("b", "2024-01-01", "b1")])
     assert run() == [("a", "2024-01-02", "a2"), ("b", "2024-01-01", "b1")]
