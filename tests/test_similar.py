@@ -40,7 +40,7 @@ def plain_pairs(names, most):
 
 def misspelt(rng, name, edits):
     for _ in range(edits):
-        at = rng.randrange(len(name))
+        at = rng.randrange(max(1, len(name)))
         kind = rng.randrange(3)
         name = name[:at] + (rng.choice("ABCXYZ") if kind else "") + name[at + (kind < 2) :]
     return name
