@@ -270,13 +270,13 @@ def test_quality_suite_reads_the_fact_twice(spark, tmp_path, landing, monkeypatc
 
     def watched(df, name):
         out = staged(df, name)
-        scans.append(plan(df).split("== Physical Plan ==")[-1].count("fact_transaction"))
+        scans.append(any("fact_transaction" in f for f in df.inputFiles()))
         return out
 
     monkeypatch.setattr(quality, "staged", watched)
     checks, stats = quality.validate_all(tables, "2024-01-01", "2024-12-31")
-    final = plan(checks) + plan(stats)
-    assert sum(scans) == 2 and "fact_transaction]" not in final
+    assert sum(scans) == 2  # row metrics and keys; reports are made of what these have left
+    assert not any("fact_transaction" in f for f in [*checks.inputFiles(), *stats.inputFiles()])
     # the same rows as the checks give one by one
     parts = [
         quality.check_required_fields(tables), quality.check_uniqueness(tables), quality.check_referential_integrity(tables),
