@@ -68,7 +68,8 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "k string, ts string, v string, w string").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-TIE = [F.asc_nulls_first("v"), F.asc_nulls_first("w")]
+def tie():
+    return [F.asc_nulls_first("v"), F.asc_nulls_first("w")]
 
 
 def plain_history(df):
@@ -83,18 +84,18 @@ def test_history_by_change_equals_a_rebuild(spark, tmp_path, segment):
     for size in (3, 1, 60, 0, 100, 136):
         batch = rows[at : at + size]
         at += size
-        take_in_versions(frame(spark, batch), base, "k", "ts", ["v", "w"], TIE, buckets=4, segment_rows=segment)
-        want = scd2_history(frame(spark, rows[:at]), "k", "ts", ["v", "w"], TIE)
+        take_in_versions(frame(spark, batch), base, "k", "ts", ["v", "w"], tie(), buckets=4, segment_rows=segment)
+        want = scd2_history(frame(spark, rows[:at]), "k", "ts", ["v", "w"], tie())
         assert plain_history(read_history(spark, base)) == plain_history(want)
-    take_in_versions(frame(spark, rows[:50]), base, "k", "ts", ["v", "w"], TIE)  # once more: nothing changes
+    take_in_versions(frame(spark, rows[:50]), base, "k", "ts", ["v", "w"], tie())  # once more: nothing changes
     assert plain_history(read_history(spark, base)) == plain_history(want)
 
 
 def test_history_touches_the_keys_of_a_batch_only(spark, tmp_path):
     base = str(tmp_path / "history")
     rows = [(f"k{k}", "2024-01-01 00:00:00", "x", None) for k in range(200)]
-    assert take_in_versions(frame(spark, rows), base, "k", "ts", ["v", "w"], TIE, buckets=16) == 16
-    assert take_in_versions(frame(spark, [("k7", "2023-12-31 00:00:00", "y", None)]), base, "k", "ts", ["v", "w"], TIE) == 1
+    assert take_in_versions(frame(spark, rows), base, "k", "ts", ["v", "w"], tie(), buckets=16) == 16
+    assert take_in_versions(frame(spark, [("k7", "2023-12-31 00:00:00", "y", None)]), base, "k", "ts", ["v", "w"], tie()) == 1
     found = read_history(spark, base)
     assert found.count() == 201
     assert sorted(values(found.where("k = 'k7'"), "v", "is_current")) == [("x", True), ("y", False)]
