@@ -1,27 +1,26 @@
 """Names within a few edits of each other, all of them, without comparing all with all.
 
-A name is the set of its numbered bigrams. An edit changes two of them at most, so
-names k edits apart agree in all but 2k; ordered by rarity, they share one of the first
-2k + 1 (prefix filter), two of the first 2k + 2, and so on. Names meet by the
-rarest of what they must share, at lengths no more than k apart. Where very many
-meet, the group is not paired but keyed again by two shared bigrams, then by
-three. What is still crowded then is joined in shares.
+Two names k edits apart read the same once each has lost k characters at most, and so do
+their beginnings of any one length: up to where the first of them ends, what the names do
+not share are edits. So names meet by their beginnings with up to k characters left out,
+which are as many for a long name as for a short one. Where very many meet, the group is
+not paired but keyed again by longer beginnings. What is still crowded then is joined in
+shares. Rows are moved by a number; names come back for the pairs that have met.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from deedmill.operators.skew import lookup_left, salted_join
+from deedmill.operators.skew import HOT_MIN_ROWS, lookup_left, salted_join
 from deedmill.session import staged
 
-GRAM = 2
 #: Characters that a name needs for each edit.
 CHARS_PER_EDIT = 4
 #: Pairs of one group beyond which it is keyed anew.
 GROUP_PAIRS = 1024
-#: Shared bigrams a key may hold.
-LEVELS = (1, 2, 3)
+#: Lengths of the beginnings.
+LEVELS = (12, 24, 48)
 
 
 def clean_name(name: Column) -> Column:
@@ -38,38 +37,38 @@ def _numbers(name: Column) -> Column:
     return F.btrim(F.regexp_replace(name, r"[^\p{N}]+", " "))
 
 
-def _prefixes(names: DataFrame, max_edits: int, **limits) -> DataFrame:
-    """``name``, ``size``, ``k`` and ``prefix``, its rarest numbered bigrams in one order for all names."""
-    named = names.select("name", F.length("name").alias("size"), allowed_edits(F.col("name"), max_edits).alias("k")).where("k > 0")
-    padded = F.concat(F.lit("^"), F.col("name"), F.lit("$"))
-    gram = F.explode(F.transform(F.sequence(F.lit(1), F.col("size") + 1), lambda at: F.substring(padded, at, F.lit(GRAM))))
-    grams = staged(named.select("*", gram.alias("gram")).groupBy("name", "size", "k", "gram").agg(F.count("*").alias("times")), "name-grams")
-    common = grams.groupBy("gram").agg(F.count("*").alias("holders"))
-    ranked = lookup_left(grams, common, "gram", ["holders"], F.lit(True), F.struct("name"), **limits)
-    held = ranked.select("name", "size", "k", "holders", "gram", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("nth"))
-    numbered = F.struct("holders", "gram", "nth")
-    rows = held.groupBy("name", "size", "k").agg(F.sort_array(F.collect_list(numbered)).alias("grams"))
-    first = F.slice("grams", F.lit(1), F.col("k") * GRAM + max(LEVELS))
-    return rows.select("name", "size", "k", F.transform(first, lambda g: F.concat(g["gram"], g["nth"].cast("string"))).alias("prefix"))
-
-
-def _choices(items: Column, number: int) -> Column:
-    """All choices of ``number`` items, in their order."""
-    if number == 1:
-        return F.transform(items, lambda x: F.array(x))
-    rest = lambda i: F.slice(items, i + 2, F.size(items))
-    return F.flatten(F.transform(items, lambda x, i: F.transform(_choices(rest(i), number - 1), lambda r: F.concat(F.array(x), r))))
-
-
-def _keyed(rows: DataFrame, level: int) -> DataFrame:
-    """``key``, ``name``, ``size``, ``k`` and whether the row asks (for its own length and up to k more) or answers."""
-    prefix = F.slice("prefix", F.lit(1), F.col("k") * GRAM + level)
-    shared = rows.select("name", "size", "k", "prefix", F.explode(_choices(prefix, level)).alias("shared"))
-    reach = F.struct(F.lit(False).alias("asks"), F.col("size").alias("at"))
-    asked = F.transform(F.sequence(F.lit(0), F.col("k")), lambda more: F.struct(F.lit(True).alias("asks"), (F.col("size") + more).alias("at")))
-    placed = shared.withColumn("r", F.explode(F.concat(F.array(reach), asked)))
-    key = F.xxhash64(_numbers(F.col("name")), "shared", F.col("r.at"))
-    return placed.select(key.alias("key"), "name", "size", "k", "prefix", F.col("r.asks").alias("asks"))
+def _one_less(text: Column, start: Column) -> Column:
+    """``text`` without one of its characters from ``start`` on, each with the place of the next that may go."""
+    places = F.when(start <= F.length(text), F.sequence(start, F.length(text))).otherwise(F.array().cast("array<int>"))
+    rest = lambda at: F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.length(text)))
+    return F.transform(places, lambda at: F.struct(rest(at).alias("text"), at.alias("start")))
+
+
+def _shortened(text: Column, k: Column, most: int) -> Column:
+    """``text`` in all ways to leave out up to ``k`` characters, ``most`` at most."""
+    last = F.array(F.struct(text.alias("text"), F.lit(1).alias("start")))
+    found = F.array(text)
+    for left_out in range(1, most + 1):
+        last = F.flatten(F.transform(F.when(k >= left_out, last).otherwise(F.slice(last, 1, 0)), lambda t: _one_less(t["text"], t["start"])))
+        found = F.concat(found, F.transform(last, lambda t: t["text"]))
+    return F.array_distinct(found)
+
+
+def _keyed(rows: DataFrame, length: int, max_edits: int) -> DataFrame:
+    """``key``, ``id`` and ``size`` for every way to shorten a name's beginning; names with other numbers have other keys."""
+    texts = _shortened(F.substring("name", 1, length), F.col("k"), max_edits)
+    shortened = rows.select("id", "size", _numbers(F.col("name")).alias("numbers"), F.explode(texts).alias("text"))
+    return shortened.select(F.xxhash64("numbers", "text").alias("key"), "id", "size")
+
+
+def _marked(keyed: DataFrame, counts: DataFrame, min_rows: int) -> DataFrame:
+    """Rows whose key others hold too, with ``crowded``; keys with ``min_rows`` rows, which are few, stay out of the shuffle."""
+    columns = [*keyed.columns, "crowded"]
+    hot = counts.where(F.col("holders") >= min_rows)
+    if hot.isEmpty():
+        return keyed.join(counts, "key").select(*columns)
+    cold = keyed.join(F.broadcast(hot.select("key")), "key", "left_anti").join(counts, "key")
+    return cold.select(*columns).unionByName(keyed.join(F.broadcast(hot), "key").select(*columns))
 
 
 def similar_names(names: DataFrame, max_edits: int = 2, **limits) -> DataFrame:
@@ -79,37 +78,44 @@ def similar_names(names: DataFrame, max_edits: int = 2, **limits) -> DataFrame:
     less; names that hold other numbers are never a pair. Names must be distinct.
     Nothing in reach is missed. ``limits`` are those of the lookups.
     """
-    rows = staged(_prefixes(names, max_edits, **limits), "name-prefixes")
-    met = None
-    for level in LEVELS:
-        keyed = staged(_keyed(rows, level), "name-keys")
-        counts = keyed.groupBy("key").agg(F.count_if("asks").alias("asking"), F.count_if(~F.col("asks")).alias("answering"))
-        # a name answers itself: one more row at least makes a pair
-        counts = counts.where("asking > 0 AND answering > 0 AND asking + answering > 2")
-        counts = staged(counts.withColumn("crowded", F.col("asking") * F.col("answering") > GROUP_PAIRS), "name-groups")
-        marked = lookup_left(keyed, counts, "key", ["crowded"], F.lit(True), F.struct("name", "size"), **limits)
-        marked = staged(marked.where("crowded IS NOT NULL"), "name-marked")
-        few = marked.where("NOT crowded").groupBy("key").agg(F.collect_list(F.struct("name", "size", "k", "asks")).alias("m"))
-        few = few.select("m", F.explode(F.filter("m", lambda w: w["asks"])).alias("x"))
-        few = few.select("x", F.explode(F.filter("m", lambda w: ~w["asks"])).alias("y")).select(
-            F.col("x.name").alias("x"), F.col("x.k").alias("k"), F.col("x.size").alias("x_size"), F.col("y.name").alias("y"), F.col("y.size").alias("y_size")
-        )
-        pairs = _found(few, max_edits)
+    sized = names.select(
+        F.monotonically_increasing_id().alias("id"), "name", F.length("name").alias("size"), allowed_edits(F.col("name"), max_edits).alias("k")
+    )
+    sized = staged(sized.where("k > 0"), "name-ids")
+    rows, met = sized, None
+    for length in LEVELS:
+        keyed = staged(_keyed(rows, length, max_edits), "name-keys")
+        counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+        crowded = F.col("holders") * (F.col("holders") - 1) / 2 > GROUP_PAIRS
+        counts = staged(counts.withColumn("crowded", crowded), "name-groups")
+        marked = staged(_marked(keyed, counts, limits.get("min_rows", HOT_MIN_ROWS)), "name-marked")
+        few = marked.where("NOT crowded").groupBy("key").agg(F.collect_list(F.struct("id", "size")).alias("m"))
+        few = few.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y"))
+        pairs = _apart(few.select(F.col("x.id").alias("x"), F.col("x.size").alias("x_size"), F.col("y.id").alias("y"), F.col("y.size").alias("y_size")), max_edits)
         met = pairs if met is None else met.unionByName(pairs)
         crowd = marked.where("crowded")
         if crowd.isEmpty():
-            return met.distinct()
-        if level == LEVELS[-1]:
-            asking = crowd.where("asks").select("key", F.col("name").alias("x"), "k", F.col("size").alias("x_size"))
-            answering = crowd.where("NOT asks").select("key", F.col("name").alias("y"), F.col("size").alias("y_size"))
-            joined = salted_join(asking, answering, "key", F.struct("x"), **limits)
-            return met.unionByName(_found(joined, max_edits)).distinct()
-        rows = crowd.select("name", "size", "k", "prefix").distinct()
-
-
-def _found(met: DataFrame, max_edits: int) -> DataFrame:
-    """Verified pairs of those that have met; names of one length meet both ways round."""
-    edits = F.levenshtein(F.col("x"), F.col("y"), max_edits)
-    near = met.where((F.col("x_size") < F.col("y_size")) | (F.col("x") < F.col("y"))).withColumn("edits", edits)
-    near = near.where((F.col("edits") > 0) & (F.col("edits") <= F.col("k")) & (_numbers(F.col("x")) == _numbers(F.col("y"))))
-    return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "edits")
+            break
+        if length == LEVELS[-1]:
+            left = crowd.select("key", F.col("id").alias("x"), F.col("size").alias("x_size"))
+            right = crowd.select("key", F.col("id").alias("y"), F.col("size").alias("y_size"))
+            met = met.unionByName(_apart(salted_join(left, right, "key", F.col("x"), **limits), max_edits))
+        rows = sized.join(crowd.select("id").distinct(), "id", "left_semi")
+    return _found(staged(met.distinct(), "name-pairs"), sized, max_edits, **limits)
+
+
+def _apart(met: DataFrame, max_edits: int) -> DataFrame:
+    """Pairs whose lengths are near enough, the shorter name first; names of one length meet both ways round."""
+    more = F.col("y_size") - F.col("x_size")
+    return met.where(more.between(0, max_edits) & ((more > 0) | (F.col("x") < F.col("y")))).select("x", "y")
+
+
+def _found(pairs: DataFrame, sized: DataFrame, max_edits: int, **limits) -> DataFrame:
+    """Verified pairs of those that have met; the shorter name says how many edits are allowed."""
+    shorter = sized.select(F.col("id").alias("x"), F.col("name").alias("x_name"), "k")
+    longer = sized.select(F.col("id").alias("y"), F.col("name").alias("y_name"))
+    named = lookup_left(pairs, shorter, "x", ["x_name", "k"], F.lit(True), F.col("y"), **limits)
+    named = lookup_left(named, longer, "y", ["y_name"], F.lit(True), F.col("x"), **limits)
+    near = named.withColumn("edits", F.levenshtein(F.col("x_name"), F.col("y_name"), max_edits))
+    near = near.where((F.col("edits") > 0) & (F.col("edits") <= F.col("k")) & (_numbers(F.col("x_name")) == _numbers(F.col("y_name"))))
+    return near.select(F.least("x_name", "y_name").alias("a"), F.greatest("x_name", "y_name").alias("b"), "edits")

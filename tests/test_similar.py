@@ -186,3 +186,24 @@ def test_lookup_as_of_of_nothing(spark, facts, versions):
     rows, dim = frames(spark, facts, versions)
     found = asof.lookup_as_of(rows, dim, "k", "at", ["v"], F.col("k") != "", F.col("f")).collect()
     assert [r["v"] for r in found] == [None] * len(facts)
+
+
+def test_similar_names_keys_do_not_grow_with_the_table(spark, monkeypatch):
+    """Names that differ in a few letters of a small alphabet and share a long end: groups stay small, one round does."""
+    rng = random.Random(5)
+    names = sorted({"".join(rng.choice("BCDF") for _ in range(11)) + " HOLDINGS LLC" for _ in range(300)})
+    written, plain = [], similar.staged
+
+    def counted(df, name):
+        rows = plain(df, name)
+        if name in ("name-keys", "name-pairs"):
+            written.append((name, rows.count()))
+        return rows
+
+    monkeypatch.setattr(similar, "GROUP_PAIRS", 200)
+    monkeypatch.setattr(similar, "staged", counted)
+    found = {tuple(r) for r in similar.similar_names(spark.createDataFrame([(n,) for n in names], "name string"), 2).select("a", "b", "edits").collect()}
+    assert found == plain_pairs(names, 2)
+    # 1 + 12 + 66 ways to shorten the first 12 characters
+    assert sum(n for name, n in written if name == "name-keys") <= 79 * len(names)
+    assert sum(n for name, n in written if name == "name-pairs") <= 4 * len(names)
