@@ -120,7 +120,7 @@ def build_dim_property_history(raw_properties: DataFrame, feed: Feed, known: Dat
 
 
 def open_parties(raw: DataFrame, role: str, feed: Feed) -> DataFrame:
-    return open_envelope(raw, schemas.raw_party(feed, role))
+    return open_envelope(raw, schemas.raw_party(feed, role), once=True)
 
 
 def union_parties(grantors: DataFrame, grantees: DataFrame, feed: Feed) -> DataFrame:

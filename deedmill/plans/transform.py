@@ -159,6 +159,8 @@ def bridges_job(
     parties = _parties(raw, feed).select("recorder_id", "role", "source_pk", "name", "seen_at")
     changed = None
     if only_new:
+        # read for the ids and for themselves: documents are parsed once
+        parties = staged(parties, "new-parties")
         ids = resolved_ids(raw["transactions"], "recorder_id").union(parties.select("recorder_id"))
         changed = staged(ids.where("recorder_id IS NOT NULL").distinct(), "changed-ids")
         fact = _of_changed_months(fact, changed)

@@ -53,14 +53,18 @@ def resolved_ids(raw: DataFrame, id_field: str) -> DataFrame:
 
 
 def open_envelope(
-    raw: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("extracted_at",)
+    raw: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("extracted_at",), once: bool = False
 ) -> DataFrame:
     """The document's fields as columns; a missing document gives NULLs.
 
-    Columns in ``keep`` stand beside them under a leading underscore.
+    Columns in ``keep`` stand beside them under a leading underscore. ``once`` is
+    for frames that are filtered by the fields: the filter would move below
+    and parse every document a second time, but stays above a generator.
     """
     doc = F.from_json(F.coalesce(F.col("data"), F.lit("{}")), schema)
     kept = [F.col(c).alias(f"_{c}") for c in keep]
+    if once:
+        return raw.select(F.inline(F.array(doc)), *kept)
     return raw.select(doc.alias("_doc"), *kept).select(
         "_doc.*", *[f"_{c}" for c in keep]
     )
